@@ -26,7 +26,8 @@ ACCENTED = "áéíóúÁÉÍÓÚñÑüÜçÇ"
 PLAIN = "aeiouAEIOUnNuUcC"
 
 # Fixed value: symbols that become an underscore in file names.
-NAME_SYMBOLS = r"""[ \-./\\:*?"<>|()\[\]{},;=+&%$#@!]"""
+NAME_SYMBOLS = """ -./\\:*?"<>|()[]{},;=+&%$#@!"""
+UNDERSCORES = "_" * len(NAME_SYMBOLS)
 
 # How landed files are stamped and what a normalised file is called.
 STAMP = r"_\d{8}_\d{6}"
@@ -97,8 +98,8 @@ def table_name(file_name: str) -> str:
 
 def ascii_name(name: str) -> str:
     """A file name in upper-case ASCII letters, digits and underscores, at most 128 long."""
-    plain = name.translate(str.maketrans(ACCENTED, PLAIN))
-    plain = re.sub(r"[^a-zA-Z0-9_]", "", re.sub(NAME_SYMBOLS, "_", plain))
+    plain = name.translate(str.maketrans(ACCENTED + NAME_SYMBOLS, PLAIN + UNDERSCORES))
+    plain = re.sub(r"[^a-zA-Z0-9_]", "", plain)
     plain = _one_underscore(plain).strip("_").upper()
     return plain if len(plain) <= MAX_NAME else plain[:MAX_NAME].rstrip("_")
 
@@ -174,12 +175,10 @@ def table_name_of(file_name: Column) -> Column:
 
 
 def ascii_name_of(name: Column) -> Column:
-    plain = F.regexp_replace(F.translate(name, ACCENTED, PLAIN), NAME_SYMBOLS, "_")
+    plain = F.translate(name, ACCENTED + NAME_SYMBOLS, PLAIN + UNDERSCORES)
     plain = _one_underscore_of(F.regexp_replace(plain, r"[^a-zA-Z0-9_]", ""))
     plain = F.upper(_strip_underscores_of(plain))
-    return F.when(F.length(plain) <= MAX_NAME, plain).otherwise(
-        F.rtrim(F.substring(plain, 1, MAX_NAME), F.lit("_"))
-    )
+    return F.rtrim(F.substring(plain, 1, MAX_NAME), F.lit("_"))
 
 
 def header_changes(headers: DataFrame, column: str = "original") -> DataFrame:

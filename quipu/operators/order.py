@@ -7,25 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quipu.functions.text import quoted
-
 
 def arrange(
     df: DataFrame, keys: Sequence[str | Column], columns: Sequence[Column], ordered: bool = True
 ) -> DataFrame:
-    """Project ``columns`` and sort by ``keys``, which need not be among them.
+    """Sort by ``keys``, which need not be shown, and project ``columns``.
 
-    Only the projected columns and the keys travel through the sort. The remaining columns break
-    ties: the order becomes repeatable, and rows that share a sort key (one day, one document)
-    spread over several range partitions instead of filling one. ``ordered=False`` is for callers
-    that aggregate or join the rows again.
+    A digest of the row breaks ties: the order becomes repeatable, and rows that share a sort key
+    (one day, one document) spread over several range partitions instead of filling one. Columns
+    that are neither shown nor sorted by do not travel. ``ordered=False`` is for callers that
+    aggregate or join the rows again.
     """
     if not ordered:
         return df.select(*columns)
-    sort_keys = [
-        (F.col(k) if isinstance(k, str) else k).alias(f"_key{i}") for i, k in enumerate(keys)
-    ]
-    rows = df.select(*columns, *sort_keys)
-    names = [quoted(n) for n in rows.columns]
-    split = len(columns)
-    return rows.orderBy(*names[split:], *names[:split]).select(*names[:split])
+    tied = df.withColumn("_tie", F.xxhash64(*columns))
+    return tied.orderBy(*keys, "_tie").select(*columns)

@@ -40,7 +40,7 @@ def sales_per_customer(erp: Erp, start: date, end: date, ordered: bool = True) -
         F.col("Documentos"),
         F.col("Total"),
     ]
-    return arrange(named, [F.col("Total") * -1], columns, ordered)
+    return arrange(named, [F.desc("Total")], columns, ordered)
 
 
 def top_products(erp: Erp, start: date, end: date, top: int = 10) -> DataFrame:

@@ -30,7 +30,10 @@ CODE_NAMES = ("EAN", "RUC", "RFC", "NIT", "DNI")
 
 
 def landed_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
-    """One row per landed file: country (its folder), name, path, size, time. No content is read."""
+    """One row per landed file: country (its folder), name, path, size, time.
+
+    No content is read. Spark passes over files of zero bytes, which have not even a header.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
