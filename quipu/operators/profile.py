@@ -107,6 +107,7 @@ class _Bracket:
     high: float
     floor: float
     ceiling: float
+    margin: float
     below: int = 0
     upto: int = 0
     settled: bool = False
@@ -136,7 +137,8 @@ def describe_numeric(
     names = columns or numeric_columns(df)
     values = _doubles(df, names)
     spark = df.sparkSession
-    shares = [s for q in QUARTILES.values() for s in _around(q, accuracy)]
+    margin = 2 / accuracy
+    shares = [s for q in QUARTILES.values() for s in _around(q, margin)]
     aggregates = []
     for i in range(len(names)):
         c = F.col(f"c{i}")
@@ -167,6 +169,7 @@ def describe_numeric(
                         high,
                         first[f"min{i}"],
                         first[f"max{i}"],
+                        margin,
                     )
                 )
     _settle(values, brackets, accuracy, tally_rows)
@@ -189,13 +192,16 @@ def describe_numeric(
     return spark.createDataFrame(rows, schema)
 
 
-def _around(share: float, accuracy: int) -> tuple[float, float]:
-    margin = 2 / accuracy
-    return max(0.0, share - margin), min(1.0, share + margin)
+def _around(share: float, margin: float) -> list[float]:
+    return [max(0.0, share - margin), min(1.0, share + margin)]
 
 
 def _settle(values: DataFrame, brackets: list[_Bracket], accuracy: int, tally_rows: int) -> None:
-    """Count around every bracket until each holds its rank within few enough rows."""
+    """Count around every bracket until each holds its rank within few enough rows.
+
+    ``floor`` and ``ceiling`` always hold the rank. A bracket that does not returns to them and is
+    drawn more generously, at last as wide as they are.
+    """
     while open_ := [b for b in brackets if not b.settled]:
         counts = values.agg(
             *[F.count_if(F.col(b.column) < b.low).alias(f"b{j}") for j, b in enumerate(open_)],
@@ -205,7 +211,7 @@ def _settle(values: DataFrame, brackets: list[_Bracket], accuracy: int, tally_ro
         for j, b in enumerate(open_):
             b.below, b.upto = counts[f"b{j}"], counts[f"u{j}"]
             if not b.holds():
-                b.low, b.high = b.floor, b.ceiling
+                b.low, b.high, b.margin = b.floor, b.ceiling, b.margin * 4
             elif b.upto - b.below > tally_rows and b.low < b.high:
                 wide.append(b)
             else:
@@ -220,14 +226,14 @@ def _narrow(values: DataFrame, wide: list[_Bracket], accuracy: int) -> None:
         inside = F.when(F.col(b.column).between(b.low, b.high), F.col(b.column))
         share = (b.rank - b.below) / (b.upto - b.below)
         sketches.append(
-            F.percentile_approx(inside, list(_around(share, accuracy)), accuracy).alias(f"s{j}")
+            F.percentile_approx(inside, _around(share, b.margin), accuracy).alias(f"s{j}")
         )
     found = values.agg(*sketches).first()
     for j, b in enumerate(wide):
         b.floor, b.ceiling = b.low, b.high
-        if [b.low, b.high] == found[f"s{j}"]:
-            b.settled = True  # few distinct values, so the tally is short
         b.low, b.high = found[f"s{j}"]
+        if (b.low, b.high) == (b.floor, b.ceiling):
+            b.settled = True  # few distinct values, so the tally is short
 
 
 def _read_off(values: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, str], float]:

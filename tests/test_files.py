@@ -1,5 +1,6 @@
 from datetime import date
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -218,16 +219,20 @@ def test_jdbc_settings_come_from_the_environment(monkeypatch):
     assert jdbc.connection("PERU") == {"url": "jdbc:x", "user": "u"}
 
 
-def test_scratch_folder_is_the_sessions(spark, monkeypatch, tmp_path):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-        assert session.scratch_path(spark, "x").startswith(f"{tmp_path}/x-")
-        spark.conf.unset("spark.checkpoint.dir")
-        assert session.shared_dir(spark) == session.shared_dir(spark)
-    finally:
-        if before:
-            spark.conf.set("spark.checkpoint.dir", before)
+class FakeSession:
+    """Just enough of a session to hold one setting."""
+
+    def __init__(self, setting, master):
+        self.conf = {"spark.checkpoint.dir": setting} if setting else {}
+        self.sparkContext = SimpleNamespace(master=master, applicationId="a1")
+
+
+def test_scratch_folder_is_the_sessions(spark):
+    assert session.scratch_path(FakeSession("/shared/", "yarn"), "x").startswith("/shared/x-")
+    alone = FakeSession(None, "local[2]")
+    assert session.shared_dir(alone) == session.shared_dir(alone)
+    with pytest.raises(ValueError):
+        session.shared_dir(FakeSession(None, "yarn"))
 
 
 def test_stream_reads_each_file_once(spark, tmp_path):
