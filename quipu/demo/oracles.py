@@ -343,7 +343,7 @@ FROM SOP30300 d LEFT JOIN lookup
 SELECT PAIS, count(*) AS filas, count(EAN) AS con_ean,
   round(count(EAN) * 100.0::double / count(*), 6) AS porcentaje FROM rows GROUP BY PAIS""",
     "consolidated": ctes("SOP30200") + COUNTRY_HEADERS + " SELECT * FROM frames",
-    "consolidated_stats": ctes("SOP30200")
+    "country_stats": ctes("SOP30200")
     + " SELECT PAIS, count(*) AS registros, 9 AS columnas FROM SOP30200 GROUP BY PAIS",
     "extract_records": _extracted()
     + """ SELECT pais, tabla, registros, columnas,
@@ -381,7 +381,7 @@ QUALIFY row_number() OVER (PARTITION BY PAIS, nombre ORDER BY sello DESC, archiv
   SELECT archivo, archivo || '/Año[Región]' || archivo || archivo AS largo FROM files)
 SELECT archivo, {_ascii("archivo")} AS corto_ascii, {_ascii("largo")} AS largo_ascii
 FROM both_names""",
-    "scrub_text": f"""SELECT doc_id, regexp_replace(text, '{CONTROL_CHARS}', '', 'g') AS text
+    "scrub_control_chars": f"""SELECT doc_id, regexp_replace(text, '{CONTROL_CHARS}', '', 'g') AS text
 FROM documents""",
     "load_summary": RECORDS
     + """

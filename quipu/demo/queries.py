@@ -10,11 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.demo.fixtures import erp, table
-from quipu.functions import names
+from quipu.functions import names, text
 from quipu.functions.country import COUNTRIES
-from quipu.functions.text import scrub_control_chars
+from quipu.operators import consolidate as stacked
 from quipu.operators import drift, ean, integrity, load, profile, runlog
-from quipu.operators.consolidate import consolidate, country_stats
 from quipu.operators.joins import COUNTRY
 from quipu.plans import extra, registry, reports
 from quipu.session import scratch_path
@@ -207,12 +206,12 @@ def _country_headers(spark, sf) -> dict[str, DataFrame]:
 
 @query
 def consolidated(spark, sf):
-    return consolidate(_country_headers(spark, sf))
+    return stacked.consolidate(_country_headers(spark, sf))
 
 
 @query
-def consolidated_stats(spark, sf):
-    return country_stats(consolidate(_country_headers(spark, sf)))
+def country_stats(spark, sf):
+    return stacked.country_stats(stacked.consolidate(_country_headers(spark, sf)))
 
 
 def _extracted(spark, sf) -> dict[str, DataFrame]:
@@ -243,11 +242,11 @@ def preview(spark, sf):
 def adhoc_sql(spark, sf):
     view = "orders_" + uuid.uuid4().hex
     table(spark, sf, "orders").createTempView(view)
-    text = (
+    sql = (
         f"SELECT o_orderstatus, count(*) AS n, sum(cast(o_totalprice AS decimal(19,5))) AS total "
         f"FROM {view} WHERE o_orderdate >= :since GROUP BY o_orderstatus"
     )
-    return profile.run_sql(spark, text, since=START)
+    return profile.run_sql(spark, sql, since=START)
 
 
 @query
@@ -345,8 +344,8 @@ def tables_by_country(spark, sf):
 
 
 @query
-def scrub_text(spark, sf):
-    return scrub_control_chars(table(spark, sf, "documents").select("doc_id", "text"))
+def scrub_control_chars(spark, sf):
+    return text.scrub_control_chars(table(spark, sf, "documents").select("doc_id", "text"))
 
 
 # --- control -------------------------------------------------------------------------------------
@@ -457,7 +456,7 @@ def schema_drift(spark, sf):
 
 @query
 def content_drift(spark, sf):
-    return drift.content_drift(consolidate(_country_headers(spark, sf)))
+    return drift.content_drift(stacked.consolidate(_country_headers(spark, sf)))
 
 
 @query

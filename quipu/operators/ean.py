@@ -53,6 +53,16 @@ def _country(df: DataFrame, country: str | None) -> Column:
     return country_code_of(F.lit(country)) if country else F.lit(DEFAULT_CODE)
 
 
+def _key(code: Column, product: Column) -> Column:
+    """Country code and product as one join key, null where either is.
+
+    The lookup is grouped by the two columns apart. Were they also the join key, Spark would reuse
+    that grouping and could no longer divide the partition of a product that fills a third of all
+    lines; with a key of its own, both sides of the join are shuffled for it and AQE may split them.
+    """
+    return F.concat(code, F.lit("|"), product).alias("_key")
+
+
 def with_ean(
     df: DataFrame,
     equiv: DataFrame,
@@ -76,10 +86,9 @@ def with_ean(
     keep = [c for c in df.columns if c != "EAN"]
     keyed = df.select(
         *[col(c) for c in keep],
-        _country(df, country).alias("_code"),
-        strip(col(product).cast("string")).alias("_product"),
+        _key(_country(df, country), strip(col(product).cast("string"))),
     )
-    joined = keyed.join(lookup, ["_code", "_product"], "left")
+    joined = keyed.join(lookup.select(_key(F.col("_code"), F.col("_product")), "EAN"), "_key", "left")
     return joined.select(*[col(c) for c in keep], F.coalesce("EAN", F.lit("")).alias("EAN"))
 
 

@@ -119,8 +119,9 @@ def sales_report(
 ) -> DataFrame:
     """Sales from the local documents, or from the posted ones where those are absent or empty.
 
-    With several countries the choice falls country by country, in the same plan: posted rows
-    stay for every country that has no local sales in the period.
+    With several countries the choice falls country by country. Which ones have local sales in the
+    period is found out first, from the keys alone; the posted tables are then read for the others
+    only.
     """
     posted = ("SOP30200" in erp) and ("SOP30300" in erp)
     if "movGC_VtDocumentoVtaCab" not in erp or "movGC_VtDocumentoVtaDet" not in erp:
@@ -128,14 +129,20 @@ def sales_report(
     local = sales(erp, start, end, fanout=fanout)
     if not posted:
         return local
-    fallback = sales_posted(erp, start, end, ordered=False)
-    if COUNTRY in local.columns and COUNTRY in fallback.columns:
-        headers = in_period(erp["movGC_VtDocumentoVtaCab"], "fEmision", start, end)
-        lines = erp["movGC_VtDocumentoVtaDet"].select(COUNTRY, *MOV_KEYS)
-        covered = documents(headers.select(COUNTRY, *MOV_KEYS), lines, MOV_KEYS)
-        covered = covered.select(COUNTRY).distinct()
-        return local.unionByName(fallback.join(covered, COUNTRY, "left_anti"))
-    return sales_posted(erp, start, end, ordered) if local.isEmpty() else local
+    if COUNTRY not in local.columns or COUNTRY not in erp["SOP30200"].columns:
+        return sales_posted(erp, start, end, ordered) if local.isEmpty() else local
+    headers = in_period(erp["movGC_VtDocumentoVtaCab"], "fEmision", start, end)
+    lines = erp["movGC_VtDocumentoVtaDet"].select(COUNTRY, *MOV_KEYS)
+    covered = documents(headers.select(COUNTRY, *MOV_KEYS), lines, MOV_KEYS)
+    found = covered.select(COUNTRY).distinct().collect()  # one row per country
+    others = Erp({n: _without(df, [r[0] for r in found]) for n, df in erp.items()})
+    return local.unionByName(sales_posted(others, start, end, ordered=False))
+
+
+def _without(df: DataFrame, countries: list[str]) -> DataFrame:
+    if COUNTRY not in df.columns or not countries:
+        return df
+    return df.filter(~F.col(COUNTRY).isin(countries))
 
 
 def sales_detail(erp: Erp, start: date, end: date, ordered: bool = True) -> DataFrame:
@@ -188,22 +195,31 @@ def fill_rate(erp: Erp, start: date, end: date, ordered: bool = True) -> DataFra
     """Ordered, invoiced and pending quantity per customer and product, and the share invoiced.
 
     Quantities are summed per customer number and product before the customer name is joined, so
-    that join moves totals and not lines. The second sum only matters where a customer number has
-    several master rows; it reuses the partitioning of the join.
+    that join moves totals and not lines. Names are grouped first, with the number of master rows
+    that bear them: each row counts once, as if the lines had been joined, and the join is not
+    followed by a second grouping that would keep AQE from dividing a large customer.
     """
     headers = in_period(erp["SOP30200"], "DOCDATE", start, end)
     rows = documents(headers, erp["SOP30300"], SALES_KEYS)
-    item_text = F.rtrim("ITEMDESC").alias("ITEMDESC")
     group = _by_country(rows, ["CUSTNMBR", "ITEMNMBR", "ITEMDESC"])
-    rows = rows.withColumn("ITEMDESC", item_text)
-    totals = rows.groupBy(*group).agg(
-        F.sum("QUANTITY").alias("ordered"),
-        F.sum("QTYTOINV").alias("invoiced"),
-        F.sum(F.col("QUANTITY") - F.col("QTYTOINV")).alias("pending"),
+    totals = (
+        rows.withColumn("ITEMDESC", F.rtrim("ITEMDESC"))
+        .groupBy(*group)
+        .agg(
+            F.sum("QUANTITY").alias("ordered"),
+            F.sum("QTYTOINV").alias("invoiced"),
+            F.sum(F.col("QUANTITY") - F.col("QTYTOINV")).alias("pending"),
+        )
+    )
+    master = erp["RM00101"]
+    names = master.groupBy(
+        *_by_country(master, ["CUSTNMBR"]), F.rtrim("CUSTNAME").alias("CUSTNAME")
+    ).agg(F.count(F.lit(1)).alias("times"))
+    named = attach(totals, names, ["CUSTNMBR"], ["CUSTNAME", "times"])
+    times = F.coalesce("times", F.lit(1))
+    sums = named.withColumns(
+        {c: (F.col(c) * times).cast("decimal(29,5)") for c in ("ordered", "invoiced", "pending")}
     )
-    named = attach(totals, erp["RM00101"], ["CUSTNMBR"], ["CUSTNAME"])
-    named = named.withColumn("CUSTNAME", F.rtrim("CUSTNAME")).groupBy(*group, "CUSTNAME")
-    sums = named.agg(*[F.sum(c).cast("decimal(29,5)").alias(c) for c in ("ordered", "invoiced", "pending")])
     columns = [
         _as("CUSTNMBR", "Código Cliente"),
         _as("CUSTNAME", "Nombre Cliente"),

@@ -60,8 +60,12 @@ def ingest(
 
 
 def current_rows(ingested: DataFrame) -> DataFrame:
-    """The rows of each country's newest file among all ingested ones."""
-    newest = ingested.groupBy(COUNTRY).agg(F.max_by(FILE, F.struct(STAMP, FILE)).alias(FILE))
-    rows = ingested.join(newest, [COUNTRY, FILE], "left_semi")
+    """The rows of each country's newest file among all ingested ones.
+
+    There is one such file per country; their names become a filter in the scan.
+    """
+    newest = ingested.groupBy(COUNTRY).agg(F.max_by(FILE, F.struct(STAMP, FILE)))
+    files = [r[1] for r in newest.collect()]
     hidden = {FILE, STAMP, BATCH}
+    rows = ingested.filter(F.col(FILE).isin(files))
     return rows.select(*[col(c) for c in ingested.columns if c not in hidden])

@@ -104,8 +104,9 @@ def final_plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_hot_product_is_split_in_the_barcode_join(spark):
-    """A third of all lines name one product; the join divides its partition."""
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds scaled down so that a few thousand rows count as a skewed partition."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -114,25 +115,74 @@ def test_hot_product_is_split_in_the_barcode_join(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.shuffle.partitions": "16",
     }
+    before = {k: spark.conf.get(k, None) for k in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        code = F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("P"), "id"))
-        lines = spark.range(0, 60_000, 1, 8).select("id", code.alias("ITEMNMBR"))
-        equiv = lines.select(
-            F.col("ITEMNMBR").alias("cProducto"),
-            F.concat(F.lit("78"), "ITEMNMBR").alias("cProductoEquiv"),
-            F.lit("EAN12").alias("cEquivalencia"),
-            F.lit("CL").alias("cPais"),
-        )
-        df = with_ean(lines, equiv)
-        text = final_plan(df)
-        assert df.filter("EAN = ''").count() == 0 and df.count() == 60_000
-        assert "skew=true" in text
-    finally:
-        for key in settings:
+    yield
+    for key, value in before.items():
+        if value is None:
             spark.conf.unset(key)
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        else:
+            spark.conf.set(key, value)
+
+
+def test_hot_product_is_split_in_the_barcode_join(spark, small_partitions):
+    """A third of all lines name one product; the join divides its partition."""
+    code = F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("P"), "id"))
+    country = F.when(F.col("id") % 2 == 0, "CHILE").otherwise("PERU")
+    lines = spark.range(0, 60_000, 1, 8).select("id", code.alias("ITEMNMBR"), country.alias("PAIS"))
+    equiv = lines.select(
+        F.col("ITEMNMBR").alias("cProducto"),
+        F.concat(F.lit("78"), "ITEMNMBR").alias("cProductoEquiv"),
+        F.lit("EAN12").alias("cEquivalencia"),
+        F.explode(F.array(F.lit("CL"), F.lit("PE"))).alias("cPais"),
+    )
+    df = with_ean(lines, equiv)
+    assert "SortMergeJoin(skew=true) [_key" in final_plan(df)
+    assert df.filter("EAN = ''").count() == 0 and df.count() == 60_000
+
+
+def hot_sales(spark, document: bool, customer: bool) -> Erp:
+    """Sales where a third of the lines belong to one document, or of the documents to one customer."""
+    third = F.col("id") % 3 == 0
+    number = F.when(third & F.lit(document), F.lit("0")).otherwise(F.col("id").cast("string"))
+    lines = spark.range(0, 60_000, 1, 8).select(
+        number.alias("SOPNUMBE"),
+        F.lit(3).alias("SOPTYPE"),
+        F.col("id").cast("int").alias("LNITMSEQ"),
+        F.concat(F.lit("P"), "id").alias("ITEMNMBR"),
+        F.concat(F.lit("item "), F.sha2(F.col("id").cast("string"), 256)).alias("ITEMDESC"),
+        F.lit("UN").alias("UOFM"),
+        *[F.lit(2).cast("decimal(19,5)").alias(c) for c in ("QUANTITY", "QTYTOINV", "UNITPRCE", "XTNDPRCE")],
+    )
+    buyer = F.when(third & F.lit(customer), F.lit("C0")).otherwise(F.concat(F.lit("C"), "id"))
+    headers = spark.range(0, 60_000, 1, 8).select(
+        F.col("id").cast("string").alias("SOPNUMBE"),
+        F.lit(3).alias("SOPTYPE"),
+        F.lit(date(2024, 1, 1)).alias("DOCDATE"),
+        buyer.alias("CUSTNMBR"),
+        F.lit("B").alias("BACHNUMB"),
+        *[F.lit(2).cast("decimal(19,5)").alias(c) for c in ("SUBTOTAL", "TAXAMNT", "DOCAMNT")],
+    )
+    master = spark.range(0, 60_000, 1, 8).select(
+        F.concat(F.lit("C"), "id").alias("CUSTNMBR"), F.lit("name").alias("CUSTNAME")
+    )
+    return Erp({"SOP30200": headers, "SOP30300": lines, "RM00101": master})
+
+
+YEAR = (date(2024, 1, 1), date(2024, 12, 31))
+
+
+def test_hot_document_is_split(spark, small_partitions):
+    df = reports.sales_detail(hot_sales(spark, True, False), *YEAR, ordered=False)
+    assert "SortMergeJoin(skew=true) [SOPNUMBE" in final_plan(df)
+    assert df.count() == 60_000
+
+
+def test_hot_customer_is_split(spark, small_partitions):
+    df = reports.fill_rate(hot_sales(spark, False, True), *YEAR, ordered=False)
+    assert "SortMergeJoin(skew=true) [CUSTNMBR" in final_plan(df)
+    assert df.count() == 60_000
 
 
 def test_rows_of_one_day_sort_in_several_tasks(spark):
