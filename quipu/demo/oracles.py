@@ -213,6 +213,22 @@ def _describe() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _fingerprint() -> str:
+    doubles = {"l_quantity", "l_extendedprice", "l_discount", "l_tax"}
+    cells = [
+        f"coalesce(cast({f'round({c}, 6)' if c in doubles else c} AS varchar), chr(0))"
+        for c in sorted(c.strip() for c in _LINE.split(","))
+    ]
+    return f"""WITH digests AS (
+  SELECT sha256(concat_ws(chr(31), {", ".join(cells)})) AS h FROM lineitem),
+parts AS (
+  SELECT cast('0x' || substr(h, 1, 15) AS bigint) AS a, cast('0x' || substr(h, 16, 15) AS bigint) AS b
+  FROM digests)
+SELECT count(*) AS total_registros, sha256(concat_ws(chr(31), cast(count(*) AS varchar),
+  cast(sum(a) AS varchar), cast(sum(b) AS varchar), cast(bit_xor(a) AS varchar))) AS hash_sha256
+FROM parts"""
+
+
 def _extracted() -> str:
     parts = [
         f"SELECT PAIS AS pais, 'movGC_VtDocumentoVtaCab' AS tabla, count(*) AS registros, 9 AS columnas "
@@ -412,6 +428,7 @@ SELECT count(*) AS total_registros, count(DISTINCT tabla) AS tablas_unicas,
 SELECT SOPNUMBE, sha256(concat_ws(chr(31), coalesce(BACHNUMB, chr(0)), rtrim(CUSTNMBR),
   cast(DOCAMNT AS varchar), cast(DOCDATE AS varchar), PAIS, SOPNUMBE, cast(SOPTYPE AS varchar),
   cast(SUBTOTAL AS varchar), cast(TAXAMNT AS varchar))) AS hash_sha256 FROM SOP30200""",
+    "fingerprint": _fingerprint(),
     "snapshot_changes": _changes("l_shipdate") + " SELECT * FROM changes",
     "snapshot_diff": _changes("l_orderkey, l_linenumber")
     + """

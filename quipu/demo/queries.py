@@ -540,8 +540,8 @@ def stream_ingest(spark, sf):
     for second in (None, f"{drop}/two", None):
         if second:
             load.write_csv(rows.filter(F.col("CUSTCLAS") != "BUILDING"), second)
-        stream.ingest(spark, drop, "*.csv", f"{drop}/one", target, checkpoint)
-    return spark.read.parquet(target).select(COUNTRY, "CUSTNMBR", "CUSTCLAS", "CRLMTAMT")
+        stream.ingest(spark, drop, "*.csv", target, checkpoint)
+    return stream.ingested(spark, target).select(COUNTRY, "CUSTNMBR", "CUSTCLAS", "CRLMTAMT")
 
 
 # --- reports known by name only ------------------------------------------------------------------

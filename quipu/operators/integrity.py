@@ -65,13 +65,12 @@ def fingerprint(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     """One SHA-256 per table, the same for any order or partitioning of its rows.
 
     Row digests are combined by order-free sums, so every task reduces its rows to one line before
-    anything is shuffled. Two sums over independent parts of the digest, an exclusive or and the
-    row count tell apart tables that differ in a repeated row.
+    anything is shuffled. Sums over two independent 60-bit parts of the digest, an exclusive or and
+    the row count tell apart tables that differ in a repeated row. Only SHA-256 and integer sums are
+    involved, so other engines can verify the value.
     """
     digest = row_hash(df, columns)
-    halves = df.select(
-        F.xxhash64(digest).alias("a"), F.xxhash64(F.reverse(digest), F.lit(1)).alias("b")
-    )
+    halves = df.select(_bits(digest, 1).alias("a"), _bits(digest, 16).alias("b"))
     sums = halves.agg(
         F.count(F.lit(1)).alias("total_registros"),
         F.coalesce(F.sum(F.col("a").cast("decimal(38,0)")), F.lit(0)).alias("a"),
@@ -83,6 +82,11 @@ def fingerprint(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     return sums.select("total_registros", F.sha2(text, 256).alias("hash_sha256"))
 
 
+def _bits(digest: Column, start: int) -> Column:
+    """Fifteen hexadecimal digits of a digest as a number."""
+    return F.conv(F.substring(digest, start, 15), 16, 10).cast("long")
+
+
 def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key: rows kept, changed, added and removed between two snapshots.
 

@@ -9,7 +9,7 @@ from quipu.functions.text import col, quoted, scrub_control_chars
 from quipu.operators.joins import COUNTRY
 from quipu.operators.runlog import LOAD_RECORD
 from quipu.session import scratch_path
-from quipu.sources.landing import latest_snapshots, landed_files, read_csv
+from quipu.sources.landing import landed_files, latest_snapshots, literal, read_csv
 
 BACKUP = "_OLD"
 
@@ -89,7 +89,7 @@ def load_file(spark: SparkSession, path: str, country: str, table: str, database
     """Load one landed file into its table and return its record."""
     file = path.rsplit("/", 1)[-1]
     try:
-        rows = read_csv(spark, path)
+        rows = read_csv(spark, literal(path))
         loaded = replace_with_backup(spark, rows, database, table)
         count = spark.table(full_name(database, table)).count() if loaded else 0
         return file, country, table, count, count, loaded, None

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import csv
+import re
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +90,11 @@ def read_table_list(spark: SparkSession, path: str | None = None) -> list[str]:
     return [r[0].strip() for r in rows if r[0] and r[0].strip()]
 
 
+def literal(path: str) -> str:
+    """A file path with the characters a reader would take for a pattern escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def first_line(spark: SparkSession, path: str) -> str:
     row = spark.read.text(path).first()
     return (row[0] if row else "").removeprefix(BOM).rstrip("\r")
@@ -104,31 +112,51 @@ def warehouse_names(header: list[str]) -> list[str]:
     return disambiguate(normalize_header(h) for h in header)
 
 
-def _has_broken_lines(spark: SparkSession, path: str) -> bool:
-    """Whether some quoted cell spans lines, that is, some line has an odd number of quotes."""
+def spanning_files(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
+    """Each file, and whether a quoted cell in it spans lines: some line has unpaired quotes."""
+    lines = spark.read.text(paths).select("value", "_metadata.file_path")
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+    found = lines.groupBy("file_path").agg(F.max(quotes % 2 == 1).alias("spans"))
+    return {unquote(r.file_path): r.spans for r in found.collect()}  # one row per file
 
 
 def read_csv(
-    spark: SparkSession, path: str, normalise: bool = True, multi_line: bool | None = None
+    spark: SparkSession, paths: str | list[str], normalise: bool = True, tag: str | None = None
 ) -> DataFrame:
-    """A landed CSV file (or a folder of files with one header) as text columns.
+    """Landed CSV files as text columns; ``tag`` names a column for the file a row came from.
+
+    The first line of each path (a file, or a folder of files alike) gives its delimiter and names;
+    columns that some paths lack are null there. Rows with more cells than the header are skipped,
+    shorter ones are filled with nulls, and the words for "no value" become null.
 
-    The first line gives delimiter and names. Rows with more cells than the header are skipped,
-    shorter ones are filled with nulls, and the words for "no value" become null. The file is read
-    in splits unless a cell in it spans lines; only then does one task have to parse it whole, as a
-    stream. ``multi_line`` settles that question without the scan that answers it.
+    Files are read in splits. Only one with a cell that spans lines has to be parsed from its start,
+    by one task and as a stream; a scan for unpaired quotes finds those files.
     """
-    line = first_line(spark, path)
-    delimiter = sniff_delimiter(line)
-    header = header_of(line)
-    names = warehouse_names(header) if normalise else disambiguate(header)
-    if multi_line is None:
-        multi_line = _has_broken_lines(spark, path)
-    schema = text_schema(names)
-    raw = spark.read.schema(schema).options(**csv_options(delimiter, multi_line)).csv(path)
-    return tolerant(raw, names, delimiter)
+    alike: dict[str, list[str]] = {}
+    for path in [paths] if isinstance(paths, str) else paths:
+        alike.setdefault(first_line(spark, path), []).append(path)
+    parts = []
+    for line, members in alike.items():
+        header = header_of(line)
+        if not header:
+            raise ValueError(f"no header in {members}")
+        names = warehouse_names(header) if normalise else disambiguate(header)
+        for files, multi_line in _by_layout(spark, members):
+            options = csv_options(sniff_delimiter(line), multi_line)
+            raw = spark.read.schema(text_schema(names)).options(**options).csv(files)
+            if tag:
+                raw = raw.select("*", F.col("_metadata.file_path").alias(tag))
+            parts.append(tolerant(raw, names, sniff_delimiter(line), [tag] if tag else []))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _by_layout(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], bool]]:
+    """The paths to read in splits, and the files to parse whole."""
+    spans = spanning_files(spark, paths)
+    if not any(spans.values()):
+        return [(paths, False)]
+    groups = [([literal(f) for f, s in spans.items() if s is whole], whole) for whole in (True, False)]
+    return [g for g in groups if g[0]]
 
 
 def text_schema(names: list[str]) -> T.StructType:

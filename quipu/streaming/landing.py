@@ -4,54 +4,61 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quipu.functions.names import snapshot_stamp_of
 from quipu.functions.text import col
 from quipu.operators.joins import COUNTRY
-from quipu.sources.landing import (
-    country_of,
-    csv_options,
-    first_line,
-    header_of,
-    sniff_delimiter,
-    text_schema,
-    tolerant,
-    warehouse_names,
-)
+from quipu.sources.landing import country_of, literal, read_csv
 
 FILE, STAMP, BATCH = "_archivo", "_sello", "_batch"
 
+#: What the stream itself carries: which files arrived. Their content is read batch by batch.
+ARRIVALS = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
 
 def ingest(
-    spark: SparkSession, root: str, pattern: str, sample: str, target: str, checkpoint: str
+    spark: SparkSession,
+    root: str,
+    pattern: str,
+    target: str,
+    checkpoint: str,
+    files_per_batch: int = 200,
 ) -> None:
     """Append all files below ``root`` that match ``pattern`` and were not read before.
 
-    ``sample`` is a file whose first line gives delimiter and names. Each batch replaces its own
-    ``_batch`` folder, so one that is repeated after a failure leaves no rows twice.
+    The stream follows file names only, so each file can be read by its own header and in splits.
+    Each batch replaces its own ``_batch`` folder: one that is repeated after a failure leaves no
+    rows twice.
     """
-    line = first_line(spark, sample)
-    delimiter = sniff_delimiter(line)
-    names = warehouse_names(header_of(line))
-    source = (
-        spark.readStream.schema(text_schema(names))
-        .options(**csv_options(delimiter))
+    arrivals = (
+        spark.readStream.format("binaryFile")
+        .schema(ARRIVALS)
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
-        .csv(root)
-        .select("*", F.col("_metadata.file_path").alias(FILE))
-    )
-    rows = source.withColumn(COUNTRY, country_of(F.col(FILE))).withColumn(
-        STAMP, snapshot_stamp_of(F.col(FILE))
+        .option("maxFilesPerTrigger", files_per_batch)
+        .load(root)
+        .select("path")
     )
 
     def store(batch: DataFrame, number: int) -> None:
-        tags = [COUNTRY, FILE, STAMP]
-        kept = tolerant(batch, names, delimiter, tags)
-        kept.write.mode("overwrite").parquet(f"{target}/{BATCH}={number}")
+        paths = [literal(r.path) for r in batch.collect()]  # at most files_per_batch names
+        if paths:
+            rows = read_csv(batch.sparkSession, paths, tag=FILE)
+            tagged = rows.withColumn(COUNTRY, country_of(F.col(FILE))).withColumn(
+                STAMP, snapshot_stamp_of(F.col(FILE))
+            )
+            tagged.write.mode("overwrite").parquet(f"{target}/{BATCH}={number}")
 
     query = (
-        rows.writeStream.foreachBatch(store)
+        arrivals.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -59,13 +66,18 @@ def ingest(
     query.awaitTermination()
 
 
-def current_rows(ingested: DataFrame) -> DataFrame:
+def ingested(spark: SparkSession, target: str) -> DataFrame:
+    """All rows read so far; files of different batches may differ in their columns."""
+    return spark.read.option("mergeSchema", "true").parquet(target)
+
+
+def current_rows(rows: DataFrame) -> DataFrame:
     """The rows of each country's newest file among all ingested ones.
 
     There is one such file per country; their names become a filter in the scan.
     """
-    newest = ingested.groupBy(COUNTRY).agg(F.max_by(FILE, F.struct(STAMP, FILE)))
+    newest = rows.groupBy(COUNTRY).agg(F.max_by(FILE, F.struct(STAMP, FILE)))
     files = [r[1] for r in newest.collect()]
     hidden = {FILE, STAMP, BATCH}
-    rows = ingested.filter(F.col(FILE).isin(files))
-    return rows.select(*[col(c) for c in ingested.columns if c not in hidden])
+    kept = rows.filter(F.col(FILE).isin(files))
+    return kept.select(*[col(c) for c in rows.columns if c not in hidden])

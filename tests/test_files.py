@@ -43,7 +43,8 @@ def test_long_rows_go_and_short_rows_stay(spark, tmp_path):
     assert rows(landing.read_csv(spark, path)) == want
     assert landing.read_csv(spark, path).count() == 4
     assert landing.read_csv(spark, path).select("C").count() == 4
-    assert rows(landing.read_csv(spark, path, multi_line=True)) == want
+    whole = write(tmp_path, "b.csv", text + '9,"two\nlines"\n')
+    assert rows(landing.read_csv(spark, whole)) == [*want, ("9", "two\nlines", None)]
 
 
 def test_words_for_no_value(spark, tmp_path):
@@ -235,20 +236,49 @@ def test_scratch_folder_is_the_sessions(spark):
         session.shared_dir(FakeSession(None, "yarn"))
 
 
+def test_files_with_different_headers_and_odd_names(spark, tmp_path):
+    one = write(tmp_path, "📊 Año [1].csv", "A;B\n1;2\n")
+    two = write(tmp_path, "b+c%20.csv", 'B,A,Z\n20,10,"x\ny"\n')
+    df = landing.read_csv(spark, [landing.literal(one), landing.literal(two)], tag="f")
+    got = {(r.A, r.B, r.Z) for r in df.collect()}
+    assert got == {("1", "2", None), ("10", "20", "x\ny")}
+
+
+def test_folder_of_files_where_some_cells_span_lines(spark, tmp_path):
+    write(tmp_path / "in", "1.csv", 'A,B\n1,"x\ny"\n')
+    write(tmp_path / "in", "2.csv", "A,B\n2,z\n3\n")
+    got = sorted(rows(landing.read_csv(spark, str(tmp_path / "in"))), key=str)
+    assert got == [("1", "x\ny"), ("2", "z"), ("3", None)]
+
+
+def test_landed_files_are_listed_without_content(spark, tmp_path):
+    write(tmp_path / "PERU", "📊 Ventas_20240101_000000.csv", "A\n1\n")
+    df = landing.latest_snapshots(landing.landed_files(spark, str(tmp_path)))
+    row = df.first()
+    assert (row.PAIS, row.archivo, row.tabla) == ("PERU", "📊 Ventas_20240101_000000.csv", "VENTAS_PERU")
+    assert rows(landing.read_csv(spark, landing.literal(row.path))) == [("1",)]
+    assert "content" not in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_stream_reads_each_file_once(spark, tmp_path):
     drop, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "cp"))
     header = "Cód. Cliente;Cupo\n"
-    sample = write(tmp_path / "in/CHILE", "C_20240101_000000.csv", header + "1;10\n2;NULL\n")
-    run = lambda: stream.ingest(spark, drop, "C_*.csv", sample, target, checkpoint)
+    write(tmp_path / "in/CHILE", "C_20240101_000000.csv", header + "1;10\n2;NULL\n")
+    run = lambda: stream.ingest(spark, drop, "C_*.csv", target, checkpoint)
     run()
     write(tmp_path / "in/PERU", "C_20240101_000000.csv", header + "3;30\n4;40;9\n")
-    write(tmp_path / "in/CHILE", "C_20240201_000000.csv", header + "5;50\n")
+    write(tmp_path / "in/CHILE", "C_20240201_000000.csv", 'Cupo,Cód. Cliente,Nota\n50,5,"a\nb"\n')
     write(tmp_path / "in/CHILE", "other.csv", "x\n1\n")
     run()
     run()
-    everything = spark.read.parquet(target)
-    got = sorted(rows(everything.select("PAIS", "COD_CLIENTE", "CUPO")))
-    assert got == [("CHILE", "1", "10"), ("CHILE", "2", None), ("CHILE", "5", "50"), ("PERU", "3", "30")]
+    everything = stream.ingested(spark, target)
+    got = sorted(rows(everything.select("PAIS", "COD_CLIENTE", "CUPO", "NOTA")), key=str)
+    assert got == [
+        ("CHILE", "1", "10", None),
+        ("CHILE", "2", None, None),
+        ("CHILE", "5", "50", "a\nb"),
+        ("PERU", "3", "30", None),
+    ]
     current = stream.current_rows(everything)
     assert sorted(rows(current.select("PAIS", "COD_CLIENTE"))) == [("CHILE", "5"), ("PERU", "3")]
-    assert current.columns == ["COD_CLIENTE", "CUPO", "PAIS"]
+    assert set(current.columns) == {"COD_CLIENTE", "CUPO", "NOTA", "PAIS"}
