@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quipu.demo.fixtures import ctes
+from quipu.functions.country import COUNTRY_CODES
 from quipu.functions.text import CONTROL_CHARS
 
 PERIOD = "BETWEEN DATE '1995-02-01' AND DATE '2001-06-30'"
@@ -230,14 +231,25 @@ FROM parts"""
 
 
 def _extracted() -> str:
+    window = f">= {AS_OF} - 1080"
     parts = [
-        f"SELECT PAIS AS pais, 'movGC_VtDocumentoVtaCab' AS tabla, count(*) AS registros, 9 AS columnas "
-        f"FROM movGC_VtDocumentoVtaCab WHERE fEmision >= {AS_OF} - 1080 GROUP BY 1",
-        "SELECT PAIS, 'movGC_VtDocumentoVtaDet', count(*), 8 FROM movGC_VtDocumentoVtaDet GROUP BY 1",
-        "SELECT NULL, 'maeGC_ProductoEquiv', count(*), 4 FROM maeGC_ProductoEquiv",
-        f"SELECT NULL, 'RM00101', count(*), 13 FROM RM00101 WHERE CREATDDT >= {AS_OF} - 1080",
+        f"SELECT PAIS, 'movGC_VtDocumentoVtaCab' AS tabla FROM movGC_VtDocumentoVtaCab WHERE fEmision {window}",
+        "SELECT PAIS, 'movGC_VtDocumentoVtaDet' FROM movGC_VtDocumentoVtaDet",
+        "SELECT 'CHILE', 'maeGC_ProductoEquiv' FROM maeGC_ProductoEquiv",
+        f"SELECT 'CHILE', 'RM00101' FROM RM00101 WHERE CREATDDT {window}",
     ]
-    return ctes(*MOV, "RM00101") + ", records AS (" + " UNION ALL ".join(parts) + ")"
+    shapes = [("movGC_VtDocumentoVtaCab", c, 9) for c in COUNTRY_CODES]
+    shapes += [("movGC_VtDocumentoVtaDet", c, 9) for c in COUNTRY_CODES]
+    for table, columns in (("maeGC_ProductoEquiv", 4), ("RM00101", 13)):
+        shapes += [(table, c, columns if c == "CHILE" else "NULL") for c in COUNTRY_CODES]
+    tried = ", ".join(f"('{c}', '{t}', {n})" for t, c, n in shapes)
+    return f"""{ctes(*MOV, "RM00101")}, found AS ({" UNION ALL ".join(parts)}),
+tried(pais, tabla, n) AS (VALUES {tried}),
+records AS (
+  SELECT tried.pais, tried.tabla, count(found.tabla) AS registros, coalesce(n, 0) AS columnas,
+    CASE WHEN n IS NULL THEN 'ERROR' WHEN count(found.tabla) > 0 THEN 'OK' ELSE 'SIN DATOS' END AS estado
+  FROM tried LEFT JOIN found ON found.PAIS = tried.pais AND found.tabla = tried.tabla
+  GROUP BY tried.pais, tried.tabla, n)"""
 
 
 ORACLES: dict[str, str] = {
@@ -362,11 +374,10 @@ SELECT PAIS, count(*) AS filas, count(EAN) AS con_ean,
     "country_stats": ctes("SOP30200")
     + " SELECT PAIS, count(*) AS registros, 9 AS columnas FROM SOP30200 GROUP BY PAIS",
     "extract_records": _extracted()
-    + """ SELECT pais, tabla, registros, columnas,
-  CASE WHEN registros > 0 THEN 'OK' ELSE 'SIN DATOS' END AS estado FROM records""",
+    + " SELECT pais, tabla, registros, columnas, estado FROM records",
     "extract_summary": _extracted()
     + """ SELECT count(DISTINCT pais) AS paises, count(DISTINCT tabla) AS tablas,
-  count(*) FILTER (registros > 0) AS exitosos, count(*) AS operaciones,
+  count(*) FILTER (estado = 'OK') AS exitosos, count(*) AS operaciones,
   cast(sum(registros) AS bigint) AS total_registros FROM records""",
     "preview": f"""SELECT * FROM lineitem
 ORDER BY {", ".join(c.strip() + " NULLS FIRST" for c in _LINE.split(","))} LIMIT 100""",

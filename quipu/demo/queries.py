@@ -19,6 +19,7 @@ from quipu.plans import extra, registry, reports
 from quipu.session import scratch_path
 from quipu.sources import catalog, landing
 from quipu.sources.erp import Erp, full_scan, rolling_scan
+from quipu.sources.extract import Extraction, extract
 from quipu.streaming import landing as stream
 
 START, END = date(1995, 2, 1), date(2001, 6, 30)
@@ -214,19 +215,28 @@ def country_stats(spark, sf):
     return stacked.country_stats(stacked.consolidate(_country_headers(spark, sf)))
 
 
-def _extracted(spark, sf) -> dict[str, DataFrame]:
-    tables = erp(spark, sf, *MOV, "RM00101")
-    return {t: rolling_scan(tables[t], AS_OF) for t in (*MOV, "RM00101")}
+def _extracted(spark, sf) -> Extraction:
+    """Sales tables per country and the shared masters, as an extraction run leaves them."""
+    names = (*MOV, "RM00101")
+    tables = erp(spark, sf, *names)
+
+    def read(country: str, name: str) -> DataFrame | None:
+        df = tables[name]
+        if COUNTRY in df.columns:
+            return df.filter(F.col(COUNTRY) == country)
+        return df if country == "CHILE" else None
+
+    return extract(read, AS_OF, names)
 
 
 @query
 def extract_records(spark, sf):
-    return runlog.extract_records(_extracted(spark, sf))
+    return _extracted(spark, sf).records()
 
 
 @query
 def extract_summary(spark, sf):
-    return runlog.extract_summary(runlog.extract_records(_extracted(spark, sf)))
+    return runlog.extract_summary(_extracted(spark, sf).records())
 
 
 # --- exploration ---------------------------------------------------------------------------------

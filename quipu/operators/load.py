@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +35,13 @@ def write_csv(df: DataFrame, path: str) -> None:
     writer.csv(path)
 
 
+def export(df: DataFrame, root: str, report: str, at: datetime) -> str:
+    """Write a report to ``{root}/{report}_{yyyyMMdd_HHmmss}.csv`` and return that path."""
+    path = f"{root.rstrip('/')}/{report.replace(' ', '_')}_{at:%Y%m%d_%H%M%S}.csv"
+    write_csv(df, path)
+    return path
+
+
 def write_workbook_rows(df: DataFrame, path: str) -> None:
     """The rows a workbook would show: text without control characters, a folder per country."""
     write_csv(scrub_control_chars(df), path)
@@ -97,13 +107,17 @@ def load_file(spark: SparkSession, path: str, country: str, table: str, database
         return file, country, table, 0, 0, False, str(problem)
 
 
-def load_landing(spark: SparkSession, root: str, database: str) -> DataFrame:
+def load_landing(
+    spark: SparkSession, root: str, database: str, at_once: int = 4
+) -> DataFrame:
     """Load the newest snapshot of every table found below ``root``; one record per file.
 
-    The loop runs over files, of which there is one per table and country; each load is a Spark
-    job of its own.
+    There is one such file per table and country. Each load is a Spark job of its own, and
+    ``at_once`` of them run side by side, so that small files do not leave the cluster idle.
     """
     newest = latest_snapshots(landed_files(spark, root)).orderBy("PAIS", "nombre")
     picked = newest.select("path", "PAIS", "tabla").collect()  # a name per table and country
-    records = [load_file(spark, r.path, r.PAIS, r.tabla, database) for r in picked]
+    with ThreadPoolExecutor(at_once) as pool:
+        load = lambda r: load_file(spark, r.path, r.PAIS, r.tabla, database)
+        records = list(pool.map(load, picked))
     return spark.createDataFrame(records, LOAD_RECORD)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -24,31 +24,49 @@ LOAD_RECORD = T.StructType(
 )
 
 
-def extract_records(tables: Mapping[str, DataFrame | None]) -> DataFrame:
-    """One record per table and country: rows and columns, in one job for all tables.
+ATTEMPT = "pais string, tabla string, columnas int"
 
-    ``None`` stands for a table whose extraction failed.
+
+def extract_records(
+    tables: Mapping[str, DataFrame | None],
+    attempts: Sequence[tuple[str, str, int | None]] | None = None,
+) -> DataFrame:
+    """One record per table and country: rows, columns and outcome, counted in one job.
+
+    ``attempts`` lists what was tried as (country, table, columns), with ``None`` columns for a
+    failure; countries without rows then get a record, too. Without it the countries are those
+    found in the tables, and a table that is ``None`` counts as failed.
     """
+    some = [_counted(name, df) for name, df in tables.items() if df is not None]
+    counted = reduce(DataFrame.unionAll, some)
+    rows = F.coalesce("registros", F.lit(0)).alias("registros")
+    if attempts is not None:
+        tried = counted.sparkSession.createDataFrame(list(attempts), ATTEMPT)
+        joined = tried.join(counted.drop("columnas"), ["pais", "tabla"], "left")
+    else:
+        none = [(None, name, None) for name, df in tables.items() if df is None]
+        lost = counted.sparkSession.createDataFrame(none, ATTEMPT)
+        joined = counted.unionByName(lost, allowMissingColumns=True)
+    state = F.when(F.col("columnas").isNull(), F.lit("ERROR")).when(F.col("registros") > 0, F.lit("OK"))
+    return joined.select(
+        "pais",
+        "tabla",
+        rows,
+        F.coalesce("columnas", F.lit(0)).alias("columnas"),
+        state.otherwise(F.lit("SIN DATOS")).alias("estado"),
+    )
 
-    def record(name: str, df: DataFrame) -> DataFrame:
-        counted = df.groupBy(*([COUNTRY] if COUNTRY in df.columns else []))
-        counted = counted.agg(F.count(F.lit(1)).alias("registros"))
-        country = F.col(COUNTRY) if COUNTRY in df.columns else F.lit(None).cast("string")
-        state = F.when(F.col("registros") > 0, F.lit("OK")).otherwise(F.lit("SIN DATOS"))
-        return counted.select(
-            country.alias("pais"),
-            F.lit(name).alias("tabla"),
-            "registros",
-            F.lit(len(df.columns)).alias("columnas"),
-            state.alias("estado"),
-        )
-
-    good = [record(n, df) for n, df in tables.items() if df is not None]
-    failed = [(None, n, 0, 0, "ERROR") for n, df in tables.items() if df is None]
-    records = reduce(DataFrame.unionAll, good)
-    if failed:
-        records = records.unionAll(records.sparkSession.createDataFrame(failed, records.schema))
-    return records
+
+def _counted(name: str, df: DataFrame) -> DataFrame:
+    counted = df.groupBy(*([COUNTRY] if COUNTRY in df.columns else []))
+    counted = counted.agg(F.count(F.lit(1)).alias("registros"))
+    country = F.col(COUNTRY) if COUNTRY in df.columns else F.lit(None).cast("string")
+    return counted.select(
+        country.alias("pais"),
+        F.lit(name).alias("tabla"),
+        "registros",
+        F.lit(len(df.columns)).alias("columnas"),
+    )
 
 
 def extract_summary(records: DataFrame) -> DataFrame:

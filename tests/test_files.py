@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -9,7 +9,7 @@ from quipu import session
 from quipu.operators import load, runlog
 from quipu.operators.consolidate import consolidate, country_stats
 from quipu.functions.text import scrub_control_chars
-from quipu.sources import catalog, jdbc, landing
+from quipu.sources import catalog, extract, jdbc, landing
 from quipu.sources.erp import Erp, date_column, rolling_scan
 from quipu.streaming import landing as stream
 
@@ -184,6 +184,38 @@ def test_extract_records(spark):
     assert tuple(runlog.extract_summary(records).first()) == (2, 3, 2, 4, 3)
 
 
+def test_extract_stacks_countries(spark):
+    tables = {
+        ("CHILE", "movGC_VtDocumentoVtaDet"): spark.createDataFrame([("P1", 1), ("P2", 2)], "cProductoVta string, n int"),
+        ("PERU", "movGC_VtDocumentoVtaDet"): spark.createDataFrame([("P1", 3, "x")], "cProductoVta string, n int, extra string"),
+        ("CHILE", "maeGC_ProductoEquiv"): spark.createDataFrame(
+            [("P1", "780", "EAN12", "CL"), ("P1", "775", "EAN12", "PE")],
+            "cProducto string, cProductoEquiv string, cEquivalencia string, cPais string",
+        ),
+        ("PERU", "RM00101"): spark.sql("SELECT 'C1' c, date '2024-01-01' d UNION ALL SELECT 'C2', date '2019-01-01'"),
+    }
+    names = ["movGC_VtDocumentoVtaDet", "maeGC_ProductoEquiv", "RM00101", "RM00201"]
+    out = extract.extract(lambda c, t: tables.get((c, t)), date(2024, 6, 1), names)
+    lines = {(r.PAIS, r.cProductoVta, r.n, r.extra, r.EAN) for r in out.tables[names[0]].collect()}
+    assert lines == {("CHILE", "P1", 1, None, "780"), ("CHILE", "P2", 2, None, ""), ("PERU", "P1", 3, "x", "775")}
+    assert [r.c for r in out.tables["RM00101"].collect()] == ["C1"]
+    assert out.tables["RM00201"] is None
+    records = {(r.tabla, r.pais): (r.registros, r.columnas, r.estado) for r in out.records().collect()}
+    assert len(records) == 16
+    assert records["RM00101", "PERU"] == (1, 2, "OK")
+    assert records["RM00201", "CHILE"] == (0, 0, "ERROR")
+    assert records["movGC_VtDocumentoVtaDet", "PERU"] == (1, 4, "OK")
+    everything = extract.extract(lambda c, t: tables.get((c, t)), date(2024, 6, 1), ["RM00101"], date_columns={"rm00101": "d"}, days=5000)
+    assert everything.tables["RM00101"].count() == 2
+
+
+def test_export_is_stamped(spark, tmp_path):
+    df = spark.createDataFrame([("PERU", 1)], "PAIS string, n int")
+    path = load.export(df, str(tmp_path), "Reporte Cartera", datetime(2024, 1, 2, 3, 4, 5))
+    assert path.endswith("/Reporte_Cartera_20240102_030405.csv")
+    assert (Path(path) / "PAIS=PERU").is_dir()
+
+
 def test_rolling_scan(spark):
     df = spark.sql("SELECT 1 a, date '2024-01-01' d UNION ALL SELECT 2, date '2020-01-01' UNION ALL SELECT 3, NULL")
     assert date_column(df) == "d" and date_column(df, "other") == "other"
