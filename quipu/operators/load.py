@@ -68,6 +68,12 @@ def matching_columns(df: DataFrame, target: list[str]) -> DataFrame:
     )
 
 
+def append_by_name(spark: SparkSession, df: DataFrame, database: str, table: str) -> None:
+    """Add rows to a table, columns matched by name in any case; a value that does not fit aborts."""
+    name = full_name(database, table)
+    matching_columns(df, spark.table(name).columns).write.insertInto(name)
+
+
 def replace_with_backup(
     spark: SparkSession, df: DataFrame, database: str, table: str, root: str | None = None
 ) -> bool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -238,16 +238,18 @@ def _narrow(values: DataFrame, wide: list[_Bracket], accuracy: int) -> None:
 
 def _read_off(values: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, str], float]:
     """The interpolated value at each bracket's rank, by column and quartile."""
+    out = {(b.column, b.quartile): b.low for b in brackets if b.low == b.high}
+    brackets = [b for b in brackets if b.low < b.high]
     if not brackets:
-        return {}
+        return out
+    tests = [F.col(b.column).between(b.low, b.high) for b in brackets]
     tagged = [
-        F.when(
-            F.col(b.column).between(b.low, b.high),
-            F.struct(F.lit(j).alias("j"), F.col(b.column).alias("v")),
-        )
-        for j, b in enumerate(brackets)
+        F.when(test, F.struct(F.lit(j).alias("j"), F.col(b.column).alias("v")))
+        for j, (b, test) in enumerate(zip(brackets, tests))
     ]
-    inside = values.select(F.explode(F.array_compact(F.array(*tagged))).alias("t"))
+    inside = values.filter(reduce(or_, tests)).select(
+        F.explode(F.array_compact(F.array(*tagged))).alias("t")
+    )
     tally = inside.groupBy("t.j", "t.v").agg(F.count(F.lit(1)).alias("n"))
     below = F.array(*[F.lit(b.below) for b in brackets])[F.col("j")]
     rank = F.array(*[F.lit(b.rank) for b in brackets])[F.col("j")]
@@ -257,7 +259,6 @@ def _read_off(values: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, st
         F.min(F.when(F.col("upto") > F.col("rank"), F.col("v"))).alias("low"),
         F.min(F.when(F.col("upto") > F.col("rank") + 1, F.col("v"))).alias("high"),
     )
-    out = {}
     for row in pairs.collect():  # one row per quartile and column
         b = brackets[row["j"]]
         step = (row["high"] - row["low"]) * b.fraction if b.fraction else 0.0

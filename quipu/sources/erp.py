@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quipu.functions.text import col
+
 # The ERP tables a full extraction covers.
 BASE_TABLES = (
     "movGC_DocumentoxDistribucion",
@@ -24,9 +26,9 @@ BASE_TABLES = (
     "maeGC_Marca",
 )
 
-#: Blank-padded text columns that tables are joined on.
+#: Blank-padded text columns that tables are joined on, in upper case.
 KEY_COLUMNS = frozenset(
-    {"CUSTNMBR", "ITEMNMBR", "SOPNUMBE", "cSerie", "cCliente", "cProducto", "cProductoVta"}
+    {"CUSTNMBR", "ITEMNMBR", "SOPNUMBE", "CSERIE", "CCLIENTE", "CPRODUCTO", "CPRODUCTOVTA"}
 )
 
 #: 36 months of 30 days, the window of a rolling extraction.
@@ -57,7 +59,7 @@ class Erp(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         df = self._frames[name.upper()]
         return df.select(
-            *[F.rtrim(F.col(c)).alias(c) if c in KEY_COLUMNS else F.col(c) for c in df.columns]
+            *[F.rtrim(col(c)).alias(c) if c.upper() in KEY_COLUMNS else col(c) for c in df.columns]
         )
 
     def __contains__(self, name: object) -> bool:

@@ -147,6 +147,17 @@ def test_matching_columns(spark):
     assert out.columns == ["A", "B", "C"] and rows(out) == [(2, 1, None)]
 
 
+def test_append_by_name(spark, database):
+    load.replace_with_backup(spark, spark.createDataFrame([(1, "x")], "a int, b string"), database, "T")
+    load.append_by_name(spark, spark.createDataFrame([("y", 2)], "B string, A int"), database, "T")
+    load.append_by_name(spark, spark.createDataFrame([(3,)], "a int"), database, "T")
+    name = f"{database}.T"
+    assert sorted(rows(spark.table(name)), key=str) == [(1, "x"), (2, "y"), (3, None)]
+    with pytest.raises(Exception):
+        load.append_by_name(spark, spark.createDataFrame([("no", "z")], "a string, b string"), database, "T")
+    assert spark.table(name).count() == 3
+
+
 def test_export_round_trip(spark, tmp_path):
     df = spark.createDataFrame(
         [("CHILE", ' padded ', 'say "hi", ok'), ("PERU", None, "ñ;")], "PAIS string, a string, b string"
