@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -12,6 +13,7 @@ from quipu.functions.text import col, quoted, scrub_control_chars
 from quipu.operators.joins import COUNTRY
 from quipu.operators.runlog import LOAD_RECORD
 from quipu.session import scratch_path
+from quipu.sources.erp import date_column
 from quipu.sources.landing import landed_files, latest_snapshots, literal, read_csv
 
 BACKUP = "_OLD"
@@ -53,6 +55,23 @@ def read_export(spark: SparkSession, path: str, columns: list[str]) -> DataFrame
     return spark.read.schema(schema).options(**EXPORT).csv(path)
 
 
+def store_tables(tables: Mapping[str, DataFrame | None], root: str) -> None:
+    """Keep extracted tables as Parquet folders that ``Erp.from_parquet`` reads.
+
+    Countries become folders, so that a report on one of them reads no other. Within a task rows are
+    sorted by country and date, which needs no shuffle and lets a period skip row groups.
+    """
+    for name, df in tables.items():
+        if df is None:
+            continue
+        country = [COUNTRY] if COUNTRY in df.columns else []
+        date = [c for c in (date_column(df),) if c]
+        if country or date:
+            df = df.sortWithinPartitions(*country, *date)
+        writer = df.write.mode("errorifexists").option("compression", "snappy")
+        (writer.partitionBy(*country) if country else writer).parquet(f"{root.rstrip('/')}/{name}")
+
+
 def full_name(database: str, table: str) -> str:
     return f"{quoted(database)}.{quoted(table)}"
 

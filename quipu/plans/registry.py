@@ -8,6 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
+from quipu.functions.names import table_name
 from quipu.operators.ean import with_ean
 from quipu.plans import reports
 from quipu.sources.erp import Erp
@@ -99,6 +100,14 @@ REPORTS: dict[str, Report] = {
 }
 
 
+_BY_PLAIN_NAME = {table_name(name): report for name, report in REPORTS.items()}
+
+
+def find(name: str) -> Report:
+    """A report by its name; case, accents and leading symbols do not matter."""
+    return _BY_PLAIN_NAME[table_name(name)]
+
+
 def run(
     name: str,
     erp: Erp,
@@ -113,8 +122,8 @@ def run(
     they are empty; only a missing or ``None`` entry makes the report be computed from the ERP
     tables.
     """
-    report = REPORTS[name]
-    delivered = (ready or {}).get(name)
+    report = find(name)
+    delivered = {find(n).name: df for n, df in (ready or {}).items()}.get(report.name)
     if delivered is not None:
         if report.enrich_ean and "maeGC_ProductoEquiv" in erp:
             return with_ean(delivered, erp["maeGC_ProductoEquiv"])

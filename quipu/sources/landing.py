@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -132,9 +133,12 @@ def read_csv(
     Files are read in splits. Only one with a cell that spans lines has to be parsed from its start,
     by one task and as a stream; a scan for unpaired quotes finds those files.
     """
+    paths = [paths] if isinstance(paths, str) else paths
+    with ThreadPoolExecutor(8) as pool:
+        lines = list(pool.map(lambda path: first_line(spark, path), paths))
     alike: dict[str, list[str]] = {}
-    for path in [paths] if isinstance(paths, str) else paths:
-        alike.setdefault(first_line(spark, path), []).append(path)
+    for path, line in zip(paths, lines):
+        alike.setdefault(line, []).append(path)
     parts = []
     for line, members in alike.items():
         header = header_of(line)

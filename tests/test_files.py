@@ -220,6 +220,18 @@ def test_extract_stacks_countries(spark):
     assert everything.tables["RM00101"].count() == 2
 
 
+def test_stored_tables_read_back(spark, tmp_path, database):
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int"))
+    facts = spark.range(100).select(F.when(F.col("id") < 30, "PERU").otherwise("CHILE").alias("PAIS"), day.alias("d"), "id")
+    plain = spark.createDataFrame([("x ",)], "CUSTNMBR string")
+    load.store_tables({"FACTS": facts, "RM00101": plain, "NONE": None}, str(tmp_path / "lake"))
+    tables = Erp.from_parquet(spark, str(tmp_path / "lake"), ["FACTS", "RM00101"])
+    assert sorted(rows(tables["FACTS"].select("PAIS", "d", "id"))) == sorted(rows(facts))
+    assert (tmp_path / "lake/FACTS/PAIS=PERU").is_dir() and rows(tables["RM00101"]) == [("x",)]
+    load.replace_with_backup(spark, plain, database, "RM00101")
+    assert rows(Erp.from_catalog(spark, database)["RM00101"]) == [("x",)]
+
+
 def test_export_is_stamped(spark, tmp_path):
     df = spark.createDataFrame([("PERU", 1)], "PAIS string, n int")
     path = load.export(df, str(tmp_path), "Reporte Cartera", datetime(2024, 1, 2, 3, 4, 5))

@@ -229,6 +229,13 @@ def test_ready_made_sales_get_their_barcode(spark):
     assert sorted(tuple(r) for r in rows) == [("CHILE", "P1", "780"), ("CHILE", "P2", ""), ("PERU", "P1", "775")]
 
 
+def test_reports_are_found_by_plain_name():
+    assert registry.find("📊 Reporte Único de Ventas") is registry.REPORTS["Reporte Único de Ventas"]
+    assert registry.find("lista stock por almacen y lote").build is reports.stock_by_lot
+    with pytest.raises(KeyError):
+        registry.find("Otro")
+
+
 def test_dated_report_needs_dates(spark):
     with pytest.raises(ValueError):
         registry.run("Reporte Libro Mayor", Erp({}))
