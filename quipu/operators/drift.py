@@ -71,7 +71,9 @@ def content_drift(df: DataFrame) -> DataFrame:
         F.struct(F.lit(n).alias("columna"), (F.col(f"c{i}") > 0).alias("presente"))
         for i, n in enumerate(names)
     ]
-    cells = filled.select(F.col(COUNTRY).alias("pais"), "registros", F.explode(F.array(*pairs)).alias("d"))
+    cells = filled.select(
+        F.col(COUNTRY).alias("pais"), "registros", F.explode(F.array(*pairs)).alias("d")
+    )
     cells = cells.select("pais", "registros", "d.columna", "d.presente")
     shares = cells.groupBy("columna").agg(
         F.count_if("presente").alias("_with"), F.count(F.lit(1)).alias("_all")

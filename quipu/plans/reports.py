@@ -60,7 +60,7 @@ def sales(
 ) -> DataFrame:
     """Sales lines with barcode, from the local sales documents.
 
-    The reference order is undefined, so ``ordered`` is accepted and ignored.
+    No order is promised, so ``ordered`` is accepted and ignored.
     """
     headers = in_period(erp["movGC_VtDocumentoVtaCab"], "fEmision", start, end)
     rows = documents(headers, erp["movGC_VtDocumentoVtaDet"], MOV_KEYS)
