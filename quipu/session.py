@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -33,23 +31,15 @@ def local_session(cores: int = 8, app: str = "quipu", **conf: str) -> SparkSessi
     return builder.getOrCreate()
 
 
-@lru_cache
-def _local_dir(application: str) -> str:
-    return tempfile.mkdtemp(prefix=f"quipu-{application}-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Where that is not set, a folder beside the warehouse's tables is used: executors reach it too.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return _local_dir(context.applicationId)
+    if not named:
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
