@@ -16,9 +16,11 @@ How it is kept in bounds:
 * Tokens of a share ``hot`` of all documents or more are found beforehand from counts per batch (at most
   2 x mean set size / ``hot`` of them can exist, whatever the input), are not sent anywhere, and
   rank last in every order.
-* Pairs within a group of documents that share a token are not written out. Each is first linked with the
-  smallest and the largest node of the group. What links is contracted to components, and only groups that still
-  hold several components give pairs, of different components alone. The result is that of all pairs.
+* Pairs within a group of documents that share a token are not written out. Each is first held against the
+  group's hub, the node with the largest share of tokens that others have (the original of a
+  group of near copies). What links is contracted to components, and only groups that still hold several
+  components give pairs, of different components alone, where the shared token stands early enough in both
+  to be the first of enough common ones. The result is that of all pairs.
 
 Null and empty texts, and texts of blanks alone, have no set and link with nothing. Texts with fewer words
 than a shingle are one token, their whole sequence. Rows without an id take part by their text and get
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quipu.llm.common import components, small, staged
@@ -169,7 +171,7 @@ def _sent(docs: DataFrame, k: int, ranges: int, hot: np.ndarray) -> DataFrame:
                 nodes.append(node)
                 found.append(tokens)
                 held += len(tokens)
-                if held > 2_000_000:
+                if held > 1_200_000:
                     yield from flush()
                     held = 0
         yield from flush()
@@ -271,22 +273,35 @@ def _links(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return both.where(common * (100 + percent) >= (F.col("x_n") + F.col("y_n")) * percent).select("x", "y")
 
 
+def _close(x: str, y: str, percent: int) -> Column:
+    """Whether two entries of one token can belong to a pair that links and shares no token before.
+
+    The first common token of such a pair stands so early in both that enough tokens follow.
+    """
+    xn, yn = F.col(f"{x}n"), F.col(f"{y}n")
+    need = F.ceil((xn + yn) * percent / (100.0 + percent) - 1e-9)
+    sizes = (xn * 100 >= yn * percent) & (yn * 100 >= xn * percent)
+    return sizes & (F.col(f"{x}pos") <= xn - need) & (F.col(f"{y}pos") <= yn - need)
+
+
 def linked(nodes: DataFrame, percent: int) -> DataFrame:
     """(node, root): components of the candidates' links."""
-    index = nodes.select("node", "n", F.explode("prefix0").alias("token"))
-    ends = index.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    near = index.select("node", "token").join(ends, "token")
-    near = near.select("node", F.explode(F.array("lo", "hi")).alias("end")).where("node <> end")
-    pairs = near.select(F.least("node", "end").alias("x"), F.greatest("node", "end").alias("y")).distinct()
+    alone = F.col("n") - F.size("tokens")  # tokens of no other node stand first in every order
+    index = nodes.select("node", "n", (-alone / F.col("n")).alias("shared"), alone.alias("alone"), F.posexplode("prefix0").alias("at", "token"))
+    index = staged(index.select("node", "n", "shared", "token", (F.col("at") + F.col("alone")).alias("pos")), "index")
+    hubs = index.groupBy("token").agg(F.max(F.struct("shared", "node", "n", "pos")).alias("h"), F.count(F.lit(1)).alias("times"))
+    hubs = hubs.where("times > 1").select("token", *[F.col(f"h.{c}").alias(f"h{c}") for c in ("node", "n", "pos")])
+    near = index.select("token", *[F.col(c).alias(f"x{c}") for c in ("node", "n", "pos")]).join(hubs, "token")
+    near = near.where((F.col("xnode") != F.col("hnode")) & _close("x", "h", percent))
+    pairs = near.select(F.least("xnode", "hnode").alias("x"), F.greatest("xnode", "hnode").alias("y")).distinct()
     found = staged(_links(pairs, nodes, percent), "links")
     roots = components(found)
     named = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     open_ = staged(named.join(mixed.select("token"), "token", "left_semi"), "open")
-    a = open_.select("token", F.col("node").alias("x"), F.col("n").alias("xn"), F.col("root").alias("xr"))
-    b = open_.select("token", F.col("node").alias("y"), F.col("n").alias("yn"), F.col("root").alias("yr"))
-    close = (F.col("xn") * 100 >= F.col("yn") * percent) & (F.col("yn") * 100 >= F.col("xn") * percent)
-    across = a.join(b, "token").where((F.col("xr") < F.col("yr")) & close).select("x", "y").distinct()
+    a, b = (open_.select("token", *[F.col(c).alias(f"{s}{c}") for c in ("node", "n", "pos", "root")]) for s in "xy")
+    across = a.join(b, "token").where((F.col("xroot") < F.col("yroot")) & _close("x", "y", percent))
+    across = across.select(F.col("xnode").alias("x"), F.col("ynode").alias("y")).distinct()
     more = staged(_links(across, nodes, percent), "links")
     if more.isEmpty():
         return roots

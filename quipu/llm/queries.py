@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,8 +17,15 @@ ORACLES: dict[str, str] = {}
 
 
 def query(fn):
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        # workers started from another folder must find this package as well
+        root = str(Path(__file__).resolve().parents[2])
+        spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+        return fn(spark, sf)
+
+    QUERIES[fn.__name__] = run
+    return run
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
