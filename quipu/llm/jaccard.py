@@ -43,6 +43,8 @@ from quipu.llm.words import mix, pieces, run_hashes
 #: Bytes of a token that are sent; with its range that is over 48 bits, and only filters lose by a clash.
 SENT = 6
 PER_RANGE = 1_500_000
+#: Tokens a task holds before it counts or sends them.
+HELD = 1_000_000
 #: Rank of hot tokens; others have the logarithm of their frequency.
 HOT = 255
 ORDERS = (np.uint64(0x1D8E4E27C47D124F), np.uint64(0xEB44ACCAB455D165), np.uint64(0x2545F4914F6CDD1D))
@@ -73,26 +75,34 @@ def sets(docs: DataFrame, k: int, hot: float) -> DataFrame:
     """(doc_id, text_key, n, node) of every row, and (token, docs) counts of tokens that are common in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, long = ["doc_id", "text_key", "n", "node", "token", "docs"], pa.int64()
+        once: list[np.ndarray] = []
+
+        def common() -> pa.RecordBatch:
+            found, counts = np.unique(np.concatenate(once), return_counts=True)
+            often = counts >= max(2, hot / 2 * len(once))
+            once.clear()
+            none = pa.nulls(int(often.sum()), long)
+            columns = [none, none, none, none, pa.array(found[often].view(np.int64)), pa.array(counts[often])]
+            return pa.RecordBatch.from_arrays(columns, names)
+
         for batch in batches:
-            sizes, keys, once, seen = [], [], [], set()
+            sizes, keys, seen, held = [], [], set(), 0
             for tokens in shingle_sets(batch.column(2), k):
                 sizes.append(len(tokens))
                 keys.append(set_key(tokens))
                 if keys[-1] not in seen:
                     seen.add(keys[-1])
                     once.append(tokens)
-            if not sizes:
-                continue
-            found, counts = np.unique(np.concatenate(once), return_counts=True)
-            often = counts >= max(2, hot / 2 * len(seen))
-            found, counts = found[often].view(np.int64), counts[often]
-            names, long = ["doc_id", "text_key", "n", "node", "token", "docs"], pa.int64()
+                    held += len(tokens)
+                if held > HELD:
+                    yield common()
+                    held = 0
+            if once:
+                yield common()
             none = pa.nulls(len(sizes), long)
             whole = [*batch.columns[:2], pa.array(sizes, long), pa.array(keys, long), none, none]
             yield pa.RecordBatch.from_arrays(whole, names)
-            none = pa.nulls(len(found), long)
-            common = [none, none, none, none, pa.array(found), pa.array(counts)]
-            yield pa.RecordBatch.from_arrays(common, names)
 
     schema = "doc_id long, text_key long, n long, node long, token long, docs long"
     columns = (F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")
@@ -171,7 +181,7 @@ def _sent(docs: DataFrame, k: int, ranges: int, hot: np.ndarray) -> DataFrame:
                 nodes.append(node)
                 found.append(tokens)
                 held += len(tokens)
-                if held > 1_200_000:
+                if held > HELD:
                     yield from flush()
                     held = 0
         yield from flush()

@@ -39,7 +39,7 @@ END, BEGIN = np.uint64(1), np.uint64(2)
 LOW48 = np.uint64((1 << 48) - 1)
 PER_RANGE = 1_000_000
 SALTS = 64
-HELD = 2_000_000
+HELD = 1_200_000
 FOLDS, HELD_OUT = 7, 2
 
 

@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE = 4 << 20
+PIECE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
@@ -129,7 +129,7 @@ def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def pieces(column: pa.Array, size: int = PIECE) -> Iterator[Piece]:
-    """The texts of a column, a few megabytes at a time."""
+    """The texts of a column, about a megabyte at a time."""
     data, offsets = buffers(column)
     first, rows = 0, len(offsets) - 1
     while first < rows:
