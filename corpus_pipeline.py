@@ -8,17 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm import contain, jaccard, packing, quality, secrets
+from quipu.llm.common import bounded_batches
 from quipu.llm.queries import byte_vocabulary
 from quipu.session import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; boilerplate lines go from the others."""
+    bounded_batches(spark)
     return quality.cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar documents stays, the one with the smallest id."""
+    bounded_batches(spark)
     return jaccard.deduplicated(docs)
 
 
@@ -34,6 +37,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in the sequences."""
+    bounded_batches(spark)
     return packing.pack(docs, byte_vocabulary())
 
 

@@ -16,6 +16,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Texts are long: fewer of them in a batch that goes to Python keep its memory small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def buckets_for(rows: int, per_bucket: int = 50_000, least: int = 64) -> int:
     return max(least, -(-rows // per_bucket))
 

@@ -86,8 +86,10 @@ def sets(docs: DataFrame, k: int, hot: float) -> DataFrame:
             columns = [none, none, none, none, pa.array(found[often].view(np.int64)), pa.array(counts[often])]
             return pa.RecordBatch.from_arrays(columns, names)
 
+        seen: set[int] = set()
+        held = 0
         for batch in batches:
-            sizes, keys, seen, held = [], [], set(), 0
+            sizes, keys = [], []
             for tokens in shingle_sets(batch.column(2), k):
                 sizes.append(len(tokens))
                 keys.append(set_key(tokens))
@@ -97,12 +99,13 @@ def sets(docs: DataFrame, k: int, hot: float) -> DataFrame:
                     held += len(tokens)
                 if held > HELD:
                     yield common()
+                    seen.clear()
                     held = 0
-            if once:
-                yield common()
             none = pa.nulls(len(sizes), long)
             whole = [*batch.columns[:2], pa.array(sizes, long), pa.array(keys, long), none, none]
             yield pa.RecordBatch.from_arrays(whole, names)
+        if once:
+            yield common()
 
     schema = "doc_id long, text_key long, n long, node long, token long, docs long"
     columns = (F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_key"), "text")

@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quipu.llm.common import bounded_batches
 from quipu.llm import contain, extraction, jaccard, language, order, packing, quality, secrets, sharding, tools
 from quipu.session import scratch_path
 
@@ -22,6 +23,7 @@ def query(fn):
         # workers started from another folder must find this package as well
         root = str(Path(__file__).resolve().parents[2])
         spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+        bounded_batches(spark)
         return fn(spark, sf)
 
     QUERIES[fn.__name__] = run
