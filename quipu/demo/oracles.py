@@ -16,12 +16,12 @@ CODE = (
 
 # One barcode per product, and all of them.
 LOOKUP = (
-    ", lookup AS (SELECT rtrim(cPais) AS code, rtrim(cProducto) AS prod, "
+    ", lookup AS (SELECT PAIS AS owner, rtrim(cPais) AS code, rtrim(cProducto) AS prod, "
     "min(rtrim(cProductoEquiv)) AS EAN FROM maeGC_ProductoEquiv "
-    "WHERE rtrim(cEquivalencia) = 'EAN12' GROUP BY 1, 2)"
+    "WHERE rtrim(cEquivalencia) = 'EAN12' GROUP BY 1, 2, 3)"
 )
 FAN_LOOKUP = (
-    ", lookup AS (SELECT rtrim(cPais) AS code, rtrim(cProducto) AS prod, "
+    ", lookup AS (SELECT PAIS AS owner, rtrim(cPais) AS code, rtrim(cProducto) AS prod, "
     "rtrim(cProductoEquiv) AS EAN FROM maeGC_ProductoEquiv WHERE rtrim(cEquivalencia) = 'EAN12')"
 )
 
@@ -40,7 +40,7 @@ FROM movGC_VtDocumentoVtaCab cab
 JOIN movGC_VtDocumentoVtaDet det
   ON cab.PAIS = det.PAIS AND cab.cSerie = det.cSerie AND cab.nCorrelativo = det.nCorrelativo
 LEFT JOIN lookup
-  ON lookup.prod = rtrim(det.cProductoVta) AND lookup.code = {CODE.replace("PAIS", "cab.PAIS")}
+  ON lookup.owner = det.PAIS AND lookup.prod = rtrim(det.cProductoVta) AND lookup.code = {CODE.replace("PAIS", "cab.PAIS")}
 WHERE cab.fEmision {PERIOD}"""
 
 POSTED_SELECT = f"""
@@ -51,7 +51,7 @@ SELECT h.PAIS AS PAIS, h.SOPNUMBE AS NUMERODOCUMENTO, h.DOCDATE AS FECHADOCUMENT
   h.SUBTOTAL AS SUBTOTAL, h.TAXAMNT AS IMPUESTO, h.DOCAMNT AS TOTALDOCUMENTO
 FROM SOP30200 h
 JOIN SOP30300 d ON h.PAIS = d.PAIS AND h.SOPNUMBE = d.SOPNUMBE AND h.SOPTYPE = d.SOPTYPE
-LEFT JOIN RM00101 c ON rtrim(h.CUSTNMBR) = rtrim(c.CUSTNMBR)
+LEFT JOIN RM00101 c ON h.PAIS = c.PAIS AND rtrim(h.CUSTNMBR) = rtrim(c.CUSTNMBR)
 WHERE h.DOCDATE {PERIOD}"""
 
 LINES = """FROM SOP30200 h
@@ -61,7 +61,8 @@ CUSTOMER_COLUMNS = {
     "COD_CLIENTE": "rtrim(CUSTNMBR)",
     "RAZON": "rtrim(CUSTNAME)",
     "DIRECCION": "rtrim(ADDRESS1)",
-    "PAIS": "rtrim(COUNTRY)",
+    "PAIS": "PAIS",
+    "PAIS_1": "rtrim(COUNTRY)",
     "CIUDAD": "rtrim(CITY)",
     "ESTADO": "rtrim(STATE)",
     "CREDITO": "rtrim(CUSTCLAS)",
@@ -214,10 +215,15 @@ def _describe() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _cell(value: str) -> str:
+    """A cell led by its length, or the mark for null."""
+    return f"coalesce(length(cast({value} AS varchar)) || ':' || cast({value} AS varchar), '-')"
+
+
 def _fingerprint() -> str:
     doubles = {"l_quantity", "l_extendedprice", "l_discount", "l_tax"}
     cells = [
-        f"coalesce(cast({f'round({c}, 6)' if c in doubles else c} AS varchar), chr(0))"
+        _cell(f"round({c}, 6)" if c in doubles else c)
         for c in sorted(c.strip() for c in _LINE.split(","))
     ]
     return f"""WITH digests AS (
@@ -235,13 +241,13 @@ def _extracted() -> str:
     parts = [
         f"SELECT PAIS, 'movGC_VtDocumentoVtaCab' AS tabla FROM movGC_VtDocumentoVtaCab WHERE fEmision {window}",
         "SELECT PAIS, 'movGC_VtDocumentoVtaDet' FROM movGC_VtDocumentoVtaDet",
-        "SELECT 'CHILE', 'maeGC_ProductoEquiv' FROM maeGC_ProductoEquiv",
-        f"SELECT 'CHILE', 'RM00101' FROM RM00101 WHERE CREATDDT {window}",
+        "SELECT PAIS, 'maeGC_ProductoEquiv' FROM maeGC_ProductoEquiv",
+        f"SELECT PAIS, 'RM00101' FROM RM00101 WHERE CREATDDT {window}",
     ]
     shapes = [("movGC_VtDocumentoVtaCab", c, 9) for c in COUNTRY_CODES]
     shapes += [("movGC_VtDocumentoVtaDet", c, 9) for c in COUNTRY_CODES]
-    for table, columns in (("maeGC_ProductoEquiv", 4), ("RM00101", 13)):
-        shapes += [(table, c, columns if c == "CHILE" else "NULL") for c in COUNTRY_CODES]
+    for table, columns in (("maeGC_ProductoEquiv", 5), ("RM00101", 14)):
+        shapes += [(table, c, columns) for c in COUNTRY_CODES]
     tried = ", ".join(f"('{c}', '{t}', {n})" for t, c, n in shapes)
     return f"""{ctes(*MOV, "RM00101")}, found AS ({" UNION ALL ".join(parts)}),
 tried(pais, tabla, n) AS (VALUES {tried}),
@@ -271,7 +277,7 @@ SELECT h.PAIS AS PAIS, rtrim(h.SOPNUMBE) AS NUMERO_DOCUMENTO, h.SOPTYPE AS TIPO,
   d.QUANTITY AS CANTIDAD, d.UNITPRCE AS PRECIO_UNITARIO, d.XTNDPRCE AS PRECIO_EXTENDIDO,
   rtrim(d.UOFM) AS UNIDAD_MEDIDA, rtrim(h.BACHNUMB) AS NUMERO_LOTE, h.SUBTOTAL AS SUBTOTAL,
   h.TAXAMNT AS IMPUESTO, h.DOCAMNT AS TOTAL
-{LINES} LEFT JOIN RM00101 c ON h.CUSTNMBR = c.CUSTNMBR WHERE h.DOCDATE {PERIOD}""",
+{LINES} LEFT JOIN RM00101 c ON h.PAIS = c.PAIS AND h.CUSTNMBR = c.CUSTNMBR WHERE h.DOCDATE {PERIOD}""",
     "price_diff": ctes("SOP30200", "SOP30300", "IV00101")
     + f"""
 SELECT h.PAIS AS PAIS, rtrim(d.ITEMNMBR) AS CODIGO_PRODUCTO, rtrim(d.ITEMDESC) AS DESCRIPCION,
@@ -280,7 +286,7 @@ SELECT h.PAIS AS PAIS, rtrim(d.ITEMNMBR) AS CODIGO_PRODUCTO, rtrim(d.ITEMDESC) A
   cast(d.UNITPRCE - i.LISTPRCE AS decimal(20,5)) AS DIFERENCIA,
   CASE WHEN i.LISTPRCE > 0 THEN round(cast(d.UNITPRCE - i.LISTPRCE AS double)
     / cast(i.LISTPRCE AS double) * 100.0::double, 6) ELSE 0.0::double END AS PCT_DIFERENCIA
-{LINES} LEFT JOIN IV00101 i ON d.ITEMNMBR = i.ITEMNMBR
+{LINES} LEFT JOIN IV00101 i ON d.PAIS = i.PAIS AND d.ITEMNMBR = i.ITEMNMBR
 WHERE h.DOCDATE {PERIOD} AND abs(d.UNITPRCE - coalesce(i.LISTPRCE, 0)) > 0.01""",
     "fill_rate": ctes(*SOP)
     + f"""
@@ -291,27 +297,27 @@ SELECT h.PAIS AS PAIS, rtrim(h.CUSTNMBR) AS CODIGO_CLIENTE, rtrim(c.CUSTNAME) AS
   cast(sum(d.QUANTITY - d.QTYTOINV) AS decimal(29,5)) AS CANTIDAD_PENDIENTE,
   CASE WHEN sum(d.QUANTITY) > 0 THEN round(cast(sum(d.QTYTOINV) AS double)
     / cast(sum(d.QUANTITY) AS double) * 100.0::double, 6) ELSE 0.0::double END AS FILL_RATE_PCT
-{LINES} LEFT JOIN RM00101 c ON h.CUSTNMBR = c.CUSTNMBR
+{LINES} LEFT JOIN RM00101 c ON h.PAIS = c.PAIS AND h.CUSTNMBR = c.CUSTNMBR
 WHERE h.DOCDATE {PERIOD} GROUP BY 1, 2, 3, 4, 5""",
     "customers": ctes("RM00101") + f" SELECT {_select(CUSTOMER_COLUMNS)} FROM RM00101",
     "products": ctes("IV00101")
     + """
-SELECT rtrim(ITEMNMBR) AS CODIGO, rtrim(ITEMDESC) AS DESCRIPCION, rtrim(ITMSHNAM) AS DESC_CORTA,
+SELECT PAIS, rtrim(ITEMNMBR) AS CODIGO, rtrim(ITEMDESC) AS DESCRIPCION, rtrim(ITMSHNAM) AS DESC_CORTA,
   rtrim(ITMCLSCD) AS CLASE, rtrim(ITEMTYPE) AS TIPO, CURRCOST AS COSTO_ACTUAL,
   STNDCOST AS COSTO_ESTANDAR, CASE WHEN INACTIVE = 1 THEN 'SI' ELSE 'NO' END AS INACTIVO,
   LISTPRCE AS PRECIO_LISTA, QTYONHND AS CANT_DISPONIBLE, QTYSOLD AS CANT_VENDIDA,
   QTYONORD AS CANT_ORDENADA FROM IV00101""",
     "price_list": ctes("IV00108")
     + """
-SELECT rtrim(PRCLEVEL) AS NIVEL_PRECIO, rtrim(ITEMNMBR) AS CODIGO_PRODUCTO,
+SELECT PAIS, rtrim(PRCLEVEL) AS NIVEL_PRECIO, rtrim(ITEMNMBR) AS CODIGO_PRODUCTO,
   rtrim(UOFM) AS UNIDAD_MEDIDA, CURNCYID AS MONEDA, LISTPRCE AS PRECIO_LISTA,
   STNDCOST AS COSTO_ESTANDAR FROM IV00108""",
     "stock_lot": ctes("IV00102", "IV00101")
     + """
-SELECT rtrim(s.ITEMNMBR) AS CODIGO_PRODUCTO, rtrim(i.ITEMDESC) AS DESCRIPCION,
+SELECT s.PAIS AS PAIS, rtrim(s.ITEMNMBR) AS CODIGO_PRODUCTO, rtrim(i.ITEMDESC) AS DESCRIPCION,
   rtrim(s.LOCNCODE) AS ALMACEN, rtrim(s.LOTNUMBR) AS LOTE, s.QTYONHND AS CANTIDAD,
   s.DATERECD AS FECHA_RECEPCION, s.EXPNDATE AS FECHA_VENCIMIENTO
-FROM IV00102 s JOIN IV00101 i ON s.ITEMNMBR = i.ITEMNMBR WHERE s.QTYONHND > 0""",
+FROM IV00102 s JOIN IV00101 i ON s.PAIS = i.PAIS AND s.ITEMNMBR = i.ITEMNMBR WHERE s.QTYONHND > 0""",
     "receivables": ctes("RM20101", "RM00101", "RM40401")
     + f"""
 SELECT r.PAIS AS PAIS, rtrim(r.CUSTNMBR) AS NUMEROCLIENTE, rtrim(c.CUSTNAME) AS NOMBRECLIENTE,
@@ -320,7 +326,7 @@ SELECT r.PAIS AS PAIS, rtrim(r.CUSTNMBR) AS NUMEROCLIENTE, rtrim(c.CUSTNAME) AS
   r.ORTRXAMT AS MONTOORIGINAL, r.CURTRXAM AS MONTOACTUAL,
   cast(r.ORTRXAMT - r.CURTRXAM AS decimal(20,5)) AS MONTOPAGADO,
   cast(datediff('day', r.DUEDATE, {AS_OF}) AS int) AS DIASVENCIDO
-FROM RM20101 r JOIN RM00101 c ON r.CUSTNMBR = c.CUSTNMBR
+FROM RM20101 r JOIN RM00101 c ON r.PAIS = c.PAIS AND r.CUSTNMBR = c.CUSTNMBR
 LEFT JOIN RM40401 t ON r.RMDTYPAL = t.RMDTYPAL
 WHERE r.DOCDATE {PERIOD} AND r.CURTRXAM > 0""",
     "journal": ctes("GL20000")
@@ -353,26 +359,27 @@ WHERE DOCDATE >= {AS_OF} - 1080""",
 SELECT d.PAIS, d.cSerie, d.nCorrelativo, rtrim(d.cProductoVta) AS cProductoVta, d.dProductoVta,
   d.nCantidad, d.nPrecioOrig, d.nTotalOrig, coalesce(lookup.EAN, '') AS EAN
 FROM movGC_VtDocumentoVtaDet d
-LEFT JOIN lookup ON lookup.prod = rtrim(d.cProductoVta) AND lookup.code = {CODE.replace("PAIS", "d.PAIS")}""",
+LEFT JOIN lookup ON lookup.owner = d.PAIS AND lookup.prod = rtrim(d.cProductoVta) AND lookup.code = {CODE.replace("PAIS", "d.PAIS")}""",
     "ean_lookup": ctes("maeGC_ProductoEquiv")
     + """
-SELECT DISTINCT rtrim(cPais) AS cPais, rtrim(cProducto) AS cProducto, rtrim(cProductoEquiv) AS EAN
+SELECT DISTINCT PAIS, rtrim(cPais) AS cPais, rtrim(cProducto) AS cProducto, rtrim(cProductoEquiv) AS EAN
 FROM maeGC_ProductoEquiv WHERE cEquivalencia = 'EAN12'""",
     "ean_enrich": ctes("SOP30300", "maeGC_ProductoEquiv")
     + LOOKUP
     + f"""
 SELECT d.* REPLACE (rtrim(d.ITEMNMBR) AS ITEMNMBR), coalesce(lookup.EAN, '') AS EAN
 FROM SOP30300 d LEFT JOIN lookup
-  ON lookup.prod = rtrim(d.ITEMNMBR) AND lookup.code = {CODE.replace("PAIS", "d.PAIS")}""",
+  ON lookup.owner = d.PAIS AND lookup.prod = rtrim(d.ITEMNMBR) AND lookup.code = {CODE.replace("PAIS", "d.PAIS")}""",
     "ean_coverage": ctes("SOP30300", "maeGC_ProductoEquiv")
     + LOOKUP
     + f""", rows AS (SELECT d.PAIS, lookup.EAN FROM SOP30300 d LEFT JOIN lookup
-  ON lookup.prod = rtrim(d.ITEMNMBR) AND lookup.code = {CODE.replace("PAIS", "d.PAIS")})
+  ON lookup.owner = d.PAIS AND lookup.prod = rtrim(d.ITEMNMBR) AND lookup.code = {CODE.replace("PAIS", "d.PAIS")})
 SELECT PAIS, count(*) AS filas, count(EAN) AS con_ean,
   round(count(EAN) * 100.0::double / count(*), 6) AS porcentaje FROM rows GROUP BY PAIS""",
     "consolidated": ctes("SOP30200") + COUNTRY_HEADERS + " SELECT * FROM frames",
     "country_stats": ctes("SOP30200")
-    + " SELECT PAIS, count(*) AS registros, 9 AS columnas FROM SOP30200 GROUP BY PAIS",
+    + """ SELECT PAIS, count(*) AS registros, (SELECT count(*) FROM (DESCRIBE SOP30200))::int - 1
+  + CASE PAIS WHEN 'PERU' THEN 1 WHEN 'CHILE' THEN 0 ELSE -1 END AS columnas FROM SOP30200 GROUP BY PAIS""",
     "extract_records": _extracted()
     + " SELECT pais, tabla, registros, columnas, estado FROM records",
     "extract_summary": _extracted()
@@ -435,10 +442,10 @@ SELECT count(*) AS total_registros, count(DISTINCT tabla) AS tablas_unicas,
   count(*) FILTER (estado = 'modificacion_detectada') AS modificaciones_detectadas,
   max("timestamp") AS ultima_actualizacion FROM history""",
     "row_hash": ctes("SOP30200")
-    + """
-SELECT SOPNUMBE, sha256(concat_ws(chr(31), coalesce(BACHNUMB, chr(0)), rtrim(CUSTNMBR),
-  cast(DOCAMNT AS varchar), cast(DOCDATE AS varchar), PAIS, SOPNUMBE, cast(SOPTYPE AS varchar),
-  cast(SUBTOTAL AS varchar), cast(TAXAMNT AS varchar))) AS hash_sha256 FROM SOP30200""",
+    + f"""
+SELECT SOPNUMBE, sha256(concat_ws(chr(31), {", ".join(_cell(c) for c in (
+        "BACHNUMB", "rtrim(CUSTNMBR)", "DOCAMNT", "DOCDATE", "PAIS", "SOPNUMBE", "SOPTYPE", "SUBTOTAL", "TAXAMNT"
+    ))})) AS hash_sha256 FROM SOP30200""",
     "fingerprint": _fingerprint(),
     "snapshot_changes": _changes("l_shipdate") + " SELECT * FROM changes",
     "snapshot_diff": _changes("l_orderkey, l_linenumber")
@@ -486,18 +493,18 @@ UNION ALL SELECT 'ORDERS_CHILE_OLD', count(*), 6 FROM orders WHERE o_orderstatus
     + f"""
 SELECT h.PAIS AS PAIS, rtrim(h.CUSTNMBR) AS CUSTNMBR, rtrim(c.CUSTNAME) AS NOMBRE_CLIENTE,
   count(*) AS DOCUMENTOS, cast(sum(h.DOCAMNT) AS decimal(29,5)) AS TOTAL
-FROM SOP30200 h LEFT JOIN RM00101 c ON h.CUSTNMBR = c.CUSTNMBR
+FROM SOP30200 h LEFT JOIN RM00101 c ON h.PAIS = c.PAIS AND h.CUSTNMBR = c.CUSTNMBR
 WHERE h.DOCDATE {PERIOD} GROUP BY 1, 2, 3""",
     "x_top_products": ctes("SOP30200", "SOP30300")
     + f"""
-SELECT rtrim(d.ITEMNMBR) AS ITEMNMBR, cast(sum(d.QUANTITY) AS decimal(29,5)) AS CANTIDAD,
+SELECT d.PAIS AS PAIS, rtrim(d.ITEMNMBR) AS ITEMNMBR, cast(sum(d.QUANTITY) AS decimal(29,5)) AS CANTIDAD,
   cast(sum(d.XTNDPRCE) AS decimal(29,5)) AS TOTAL
-{LINES} WHERE h.DOCDATE {PERIOD} GROUP BY 1 ORDER BY 3 DESC, 1 LIMIT 10""",
+{LINES} WHERE h.DOCDATE {PERIOD} GROUP BY 1, 2 ORDER BY 4 DESC, 1, 2 LIMIT 10""",
     "x_inventory": ctes("IV00102", "IV00101")
     + """
-SELECT rtrim(s.ITEMNMBR) AS CODIGO_PRODUCTO, rtrim(i.ITEMDESC) AS DESCRIPCION,
+SELECT s.PAIS AS PAIS, rtrim(s.ITEMNMBR) AS CODIGO_PRODUCTO, rtrim(i.ITEMDESC) AS DESCRIPCION,
   cast(sum(s.QTYONHND) AS decimal(29,5)) AS CANTIDAD, count(*) AS LOTES
-FROM IV00102 s JOIN IV00101 i ON s.ITEMNMBR = i.ITEMNMBR WHERE s.QTYONHND > 0 GROUP BY 1, 2""",
+FROM IV00102 s JOIN IV00101 i ON s.PAIS = i.PAIS AND s.ITEMNMBR = i.ITEMNMBR WHERE s.QTYONHND > 0 GROUP BY 1, 2, 3""",
     "x_invoices_period": ctes("SOP30200")
     + f"""
 SELECT PAIS, cast(date_trunc('month', DOCDATE) AS date) AS MES, count(*) AS DOCUMENTOS,
@@ -508,9 +515,9 @@ SELECT PAIS, cast(date_trunc('month', DOCDATE) AS date) AS MES, count(*) AS DOCU
     + f" SELECT {_select(CUSTOMER_COLUMNS, 'INACTIVO', 'SUSPENDIDO')} FROM RM00101",
     "x_sales_brand": ctes("SOP30200", "SOP30300", "IV00101")
     + f"""
-SELECT rtrim(i.ITMCLSCD) AS MARCA, cast(sum(d.QUANTITY) AS decimal(29,5)) AS CANTIDAD,
+SELECT d.PAIS AS PAIS, rtrim(i.ITMCLSCD) AS MARCA, cast(sum(d.QUANTITY) AS decimal(29,5)) AS CANTIDAD,
   cast(sum(d.XTNDPRCE) AS decimal(29,5)) AS TOTAL
-{LINES} LEFT JOIN IV00101 i ON d.ITEMNMBR = i.ITEMNMBR WHERE h.DOCDATE {PERIOD} GROUP BY 1""",
+{LINES} LEFT JOIN IV00101 i ON d.PAIS = i.PAIS AND d.ITEMNMBR = i.ITEMNMBR WHERE h.DOCDATE {PERIOD} GROUP BY 1, 2""",
     "x_returns": ctes("SOP30200", "SOP30300")
     + f"""
 SELECT h.PAIS AS PAIS, h.SOPNUMBE AS SOPNUMBE, h.DOCDATE AS DOCDATE, rtrim(h.CUSTNMBR) AS CUSTNMBR,
@@ -518,7 +525,7 @@ SELECT h.PAIS AS PAIS, h.SOPNUMBE AS SOPNUMBE, h.DOCDATE AS DOCDATE, rtrim(h.CUS
 {LINES} WHERE h.DOCDATE {PERIOD} AND h.SOPTYPE = 4""",
     "x_products_ean": ctes("IV00101", "maeGC_ProductoEquiv")
     + """
-SELECT rtrim(ITEMNMBR) AS CODIGO, rtrim(ITEMDESC) AS DESCRIPCION, rtrim(ITMCLSCD) AS CLASE
-FROM IV00101 WHERE ITEMNMBR IN
-  (SELECT cProducto FROM maeGC_ProductoEquiv WHERE cEquivalencia = 'EAN12')""",
+SELECT PAIS, rtrim(ITEMNMBR) AS CODIGO, rtrim(ITEMDESC) AS DESCRIPCION, rtrim(ITMCLSCD) AS CLASE
+FROM IV00101 WHERE (PAIS, ITEMNMBR) IN
+  (SELECT (PAIS, cProducto) FROM maeGC_ProductoEquiv WHERE cEquivalencia = 'EAN12')""",
 }

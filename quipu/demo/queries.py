@@ -178,7 +178,7 @@ def ean_lookup(spark, sf):
     equiv = erp(spark, sf, "maeGC_ProductoEquiv")["maeGC_ProductoEquiv"]
     lookup = ean.ean_lookup(equiv, fanout=True)
     return lookup.select(
-        F.col("_code").alias("cPais"), F.col("_product").alias("cProducto"), "EAN"
+        COUNTRY, F.col("_code").alias("cPais"), F.col("_product").alias("cProducto"), "EAN"
     )
 
 
@@ -212,7 +212,7 @@ def consolidated(spark, sf):
 
 @query
 def country_stats(spark, sf):
-    return stacked.country_stats(stacked.consolidate(_country_headers(spark, sf)))
+    return stacked.country_stats(_country_headers(spark, sf))
 
 
 def _extracted(spark, sf) -> Extraction:

@@ -9,7 +9,27 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Words a CSV cell may hold instead of a value.
-NULL_WORDS = ("", "NULL", "None", "NaN", "NA")
+NULL_WORDS = (
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+)
 
 # Fixed value: control characters a workbook cell may not hold (tab, newline and return may stay).
 CONTROL_CHARS = r"[\x00-\x08\x0B\x0C\x0E-\x1F]"

@@ -17,9 +17,9 @@ def consolidate(by_country: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def country_stats(df: DataFrame) -> DataFrame:
-    """Rows per country and the number of columns next to the country's own."""
-    columns = len([c for c in df.columns if c != COUNTRY])
-    return df.groupBy(COUNTRY).agg(
-        F.count(F.lit(1)).alias("registros"), F.lit(columns).alias("columnas")
-    )
+def country_stats(by_country: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows per country and the number of columns its own table has, next to the country's name."""
+    sizes = {name: len([c for c in df.columns if c != COUNTRY]) for name, df in by_country.items()}
+    columns = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])
+    rows = consolidate(by_country).groupBy(COUNTRY).agg(F.count(F.lit(1)).alias("registros"))
+    return rows.withColumn("columnas", columns[F.col(COUNTRY)])

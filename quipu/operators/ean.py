@@ -25,14 +25,22 @@ EAN_KIND = "EAN12"
 
 
 def ean_pairs(equiv: DataFrame, strip=F.trim) -> DataFrame:
-    """All (country code, product, barcode) rows of the equivalence table, trimmed."""
+    """All (country code, product, barcode) rows of the equivalence table, trimmed.
+
+    Companies keep such a table each; where several are stacked, ``PAIS`` says whose a row is.
+    """
     return equiv.filter(equals_padded(F.col("cEquivalencia"), EAN_KIND)).select(
+        *owner(equiv),
         F.rtrim("cPais").alias("_code"),
         strip("cProducto").alias("_product"),
         F.rtrim("cProductoEquiv").alias("EAN"),
     )
 
 
+def owner(equiv: DataFrame) -> list[str]:
+    return [COUNTRY] if COUNTRY in equiv.columns else []
+
+
 def ean_lookup(
     equiv: DataFrame, fanout: bool = False, distinct: bool = True, strip=F.trim
 ) -> DataFrame:
@@ -40,7 +48,7 @@ def ean_lookup(
     pairs = ean_pairs(equiv, strip)
     if fanout:
         return pairs.distinct() if distinct else pairs
-    return pairs.groupBy("_code", "_product").agg(F.min("EAN").alias("EAN"))
+    return pairs.groupBy(*owner(pairs), "_code", "_product").agg(F.min("EAN").alias("EAN"))
 
 
 def product_column(df: DataFrame) -> str | None:
@@ -53,14 +61,15 @@ def _country(df: DataFrame, country: str | None) -> Column:
     return country_code_of(F.lit(country)) if country else F.lit(DEFAULT_CODE)
 
 
-def _key(code: Column, product: Column) -> Column:
-    """Country code and product as one join key, null where either is.
+def _key(code: Column, product: Column, company: Column | None = None) -> Column:
+    """Country code and product, led by the company, as one join key, null where one of them is.
 
     The lookup is grouped by the two columns apart. Were they also the join key, Spark would reuse
     that grouping and could no longer divide the partition of a product that fills a third of all
     lines; with a key of its own, both sides of the join are shuffled for it and AQE may split them.
     """
-    return F.concat(code, F.lit("|"), product).alias("_key")
+    parts = [code, product] if company is None else [company, F.lit("|"), code, product]
+    return F.concat(*parts[:-1], F.lit("|"), parts[-1]).alias("_key")
 
 
 def with_ean(
@@ -75,20 +84,27 @@ def with_ean(
     """Add ``EAN`` to any rows that name a product; no match or no product column gives ``''``.
 
     Each row looks its barcode up in its own country, taken from ``PAIS`` unless ``country`` names
-    one. A product with several barcodes gets the smallest; with ``fanout`` its rows repeat, one
+    one; where the table of barcodes holds several companies, only in the row's own company's. A
+    product with several barcodes gets the smallest; with ``fanout`` its rows repeat, one
     per barcode. Rows without a product code never match. ``strip`` says which blanks around product
     codes do not count.
     """
     product = product or product_column(df)
     if product is None:
         return df.withColumn("EAN", F.lit(""))
+    if owner(equiv) and country is not None:
+        equiv = equiv.filter(F.col(COUNTRY) == country).drop(COUNTRY)
+    if owner(equiv) and COUNTRY not in df.columns:
+        raise ValueError("barcodes of several companies need rows that name theirs")
+    company = F.col(COUNTRY) if owner(equiv) else None
     lookup = ean_lookup(equiv, fanout, distinct, strip)
     keep = [c for c in df.columns if c != "EAN"]
     keyed = df.select(
         *[col(c) for c in keep],
-        _key(_country(df, country), strip(col(product).cast("string"))),
+        _key(_country(df, country), strip(col(product).cast("string")), company),
     )
-    joined = keyed.join(lookup.select(_key(F.col("_code"), F.col("_product")), "EAN"), "_key", "left")
+    known = lookup.select(_key(F.col("_code"), F.col("_product"), company), "EAN")
+    joined = keyed.join(known, "_key", "left")
     return joined.select(*[col(c) for c in keep], F.coalesce("EAN", F.lit("")).alias("EAN"))
 
 

@@ -12,7 +12,7 @@ from quipu.functions.text import col
 from quipu.operators.profile import where_all
 
 SEPARATOR = "\x1f"
-MISSING = "\x00"
+MISSING = "-"
 
 # Verdicts of a control run and the states the history shows for them.
 INITIAL, UNCHANGED, MODIFIED = "INICIAL", "OK", "MODIFICADO"
@@ -48,12 +48,17 @@ def float_columns(df: DataFrame) -> list[str]:
 
 
 def row_text(df: DataFrame, columns: Iterable[str] | None = None, digits: int = 6) -> Column:
-    """A row as one text; floats are rounded first so that noise in the last digits is no change."""
+    """A row as one text; floats are rounded first so that noise in the last digits is no change.
+
+    Each cell is led by its length, or is a mark for null, so no two rows have one text, whatever
+    separators and control characters their cells hold.
+    """
     floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
     parts = []
     for name in columns or sorted(df.columns):
         value = F.round(col(name), digits) if name in floats else col(name)
-        parts.append(F.coalesce(value.cast("string"), F.lit(MISSING)))
+        cell = value.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(cell).cast("string"), F.lit(":"), cell), F.lit(MISSING)))
     return F.concat_ws(SEPARATOR, *parts)
 
 
@@ -129,14 +134,18 @@ def snapshot_changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Dat
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows kept, changed, added and removed in all, and the verdict.
 
-    Rows that were there before must all be there unchanged; more rows may have come.
+    Rows that were there before must all be there unchanged; more rows may have come. A column that
+    came, went or changed its type is a modification of its own; keys that only one of the snapshots
+    has cannot be compared by.
     """
+    keys = [k for k in keys if k in old.columns and k in new.columns]
     names = ("iguales", "modificadas", "agregadas", "eliminadas")
     totals = snapshot_changes(old, new, keys).agg(
         *[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names]
     )
     untouched = (F.col("modificadas") == 0) & (F.col("eliminadas") == 0)
-    verdict = F.when(untouched, F.lit(UNCHANGED)).otherwise(F.lit(MODIFIED))
+    alike = F.lit(dict(old.dtypes) == dict(new.dtypes))
+    verdict = F.when(untouched & alike, F.lit(UNCHANGED)).otherwise(F.lit(MODIFIED))
     return totals.withColumn("resultado", verdict)
 
 

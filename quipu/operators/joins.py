@@ -11,10 +11,14 @@ def on_keys(left: DataFrame, right: DataFrame, *keys: str) -> list[str]:
     """The join columns, led by the country when both tables hold several countries.
 
     Codes are only unique within a country, so leaving the country out would mix companies. A
-    table without it is shared by all countries.
+    table without it on the right is shared by all countries; one that has it only there would
+    repeat every row on the left, once a country, and is refused.
     """
-    both = COUNTRY in left.columns and COUNTRY in right.columns
-    return [COUNTRY, *keys] if both else list(keys)
+    if COUNTRY not in right.columns:
+        return list(keys)
+    if COUNTRY not in left.columns:
+        raise ValueError(f"only one of the tables joined by {', '.join(keys)} holds several countries")
+    return [COUNTRY, *keys]
 
 
 def attach(

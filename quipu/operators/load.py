@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
@@ -12,7 +13,6 @@ from pyspark.sql import functions as F
 from quipu.functions.text import col, quoted, scrub_control_chars
 from quipu.operators.joins import COUNTRY
 from quipu.operators.runlog import LOAD_RECORD
-from quipu.session import scratch_path
 from quipu.sources.erp import date_column
 from quipu.sources.landing import landed_files, latest_snapshots, literal, read_csv
 
@@ -100,23 +100,32 @@ def replace_with_backup(
 
     Rows are first written in full to a folder of their own; only then are names swapped, which
     touches the catalog alone. A failed write leaves the table as it was, and so does an empty
-    ``df``. Returns whether the table was replaced.
+    ``df``. Tables live in folders below ``root``, by default the database's own. An older backup
+    goes last, when the new table is there. Returns whether the table was replaced.
     """
-    path = f"{root.rstrip('/')}/{table}" if root else scratch_path(spark, table)
+    base = root or spark.catalog.getDatabase(database).locationUri
+    path = f"{base.rstrip('/')}/{table.lower()}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     if spark.read.parquet(path).isEmpty():
         return False
     name, backup = full_name(database, table), full_name(database, table + BACKUP)
     had_one = spark.catalog.tableExists(name)
+    aside = full_name(database, f"{table}{BACKUP}_{uuid.uuid4().hex[:8]}")
+    had_backup = had_one and spark.catalog.tableExists(backup)
+    if had_backup:
+        spark.sql(f"ALTER TABLE {backup} RENAME TO {aside}")
     if had_one:
-        spark.sql(f"DROP TABLE IF EXISTS {backup}")
         spark.sql(f"ALTER TABLE {name} RENAME TO {backup}")
     try:
         spark.catalog.createTable(name, path=path, source="parquet")
     except Exception:
         if had_one:
             spark.sql(f"ALTER TABLE {backup} RENAME TO {name}")
+        if had_backup:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {backup}")
         raise
+    if had_backup:
+        spark.sql(f"DROP TABLE {aside}")
     return True
 
 

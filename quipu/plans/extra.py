@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quipu.functions.text import col
-from quipu.operators.ean import ean_pairs
-from quipu.operators.joins import COUNTRY, attach, documents
+from quipu.operators.ean import ean_pairs, owner
+from quipu.operators.joins import COUNTRY, attach, documents, on_keys
 from quipu.operators.order import arrange
 from quipu.plans.reports import SALES_KEYS, customers, stock_by_lot
 from quipu.sources.erp import Erp, in_period
@@ -23,6 +23,10 @@ def _lines(erp: Erp, start: date, end: date) -> DataFrame:
     return documents(headers, erp["SOP30300"], SALES_KEYS)
 
 
+def _by_company(df: DataFrame, *columns: str) -> list[str]:
+    return [c for c in (COUNTRY, *columns) if c in df.columns]
+
+
 def sales_per_customer(erp: Erp, start: date, end: date, ordered: bool = True) -> DataFrame:
     """Documents and amount per customer, largest amount first.
 
@@ -44,11 +48,13 @@ def sales_per_customer(erp: Erp, start: date, end: date, ordered: bool = True) -
 
 
 def top_products(erp: Erp, start: date, end: date, top: int = 10) -> DataFrame:
-    """The products with the highest sales; equal amounts are ordered by product code."""
-    totals = _lines(erp, start, end).groupBy("ITEMNMBR").agg(
+    """The products with the highest sales, each company's code by itself; ties go by country and code."""
+    lines = _lines(erp, start, end)
+    group = _by_company(lines, "ITEMNMBR")
+    totals = lines.groupBy(*group).agg(
         F.sum("QUANTITY").alias("Cantidad"), F.sum("XTNDPRCE").alias("Total")
     )
-    return totals.orderBy(F.desc("Total"), "ITEMNMBR").limit(top)
+    return totals.orderBy(F.desc("Total"), *group).limit(top)
 
 
 def inventory(erp: Erp, ordered: bool = True) -> DataFrame:
@@ -81,15 +87,17 @@ def customer_master(erp: Erp, ordered: bool = True) -> DataFrame:
 
 def sales_by_brand(erp: Erp, start: date, end: date, ordered: bool = True) -> DataFrame:
     """Sales per brand; lines are summed per product before the brand is joined."""
-    per_item = _lines(erp, start, end).groupBy("ITEMNMBR").agg(
+    lines = _lines(erp, start, end)
+    per_item = lines.groupBy(*_by_company(lines, "ITEMNMBR")).agg(
         F.sum("QUANTITY").alias("q"), F.sum("XTNDPRCE").alias("t")
     )
     branded = attach(per_item, erp["IV00101"], ["ITEMNMBR"], ["ITMCLSCD"])
-    totals = branded.groupBy(F.rtrim("ITMCLSCD").alias("Marca")).agg(
+    country = _by_company(branded)
+    totals = branded.groupBy(*country, F.rtrim("ITMCLSCD").alias("Marca")).agg(
         F.sum("q").cast("decimal(29,5)").alias("Cantidad"),
         F.sum("t").cast("decimal(29,5)").alias("Total"),
     )
-    return arrange(totals, ["Marca"], [F.col(c) for c in totals.columns], ordered)
+    return arrange(totals, [*country, "Marca"], [F.col(c) for c in totals.columns], ordered)
 
 
 def returns(erp: Erp, start: date, end: date, ordered: bool = True) -> DataFrame:
@@ -104,10 +112,13 @@ def returns(erp: Erp, start: date, end: date, ordered: bool = True) -> DataFrame
 
 
 def products_with_ean(erp: Erp, ordered: bool = True) -> DataFrame:
-    """Products that have a barcode in any country."""
-    coded = ean_pairs(erp["maeGC_ProductoEquiv"]).select(F.col("_product").alias("ITEMNMBR"))
-    items = erp["IV00101"].join(coded, "ITEMNMBR", "left_semi")
+    """Products that have a barcode in their company's table, whatever country it is for."""
+    pairs = ean_pairs(erp["maeGC_ProductoEquiv"])
+    coded = pairs.select(*owner(pairs), F.col("_product").alias("ITEMNMBR"))
+    items = erp["IV00101"]
+    items = items.join(coded, on_keys(items, coded, "ITEMNMBR"), "left_semi")
     columns = [
+        *[F.col(c) for c in _by_company(items)],
         F.col("ITEMNMBR").alias("Código"),
         F.rtrim("ITEMDESC").alias("Descripción"),
         F.rtrim("ITMCLSCD").alias("Clase"),

@@ -136,7 +136,7 @@ def sales_report(
     covered = documents(headers.select(COUNTRY, *MOV_KEYS), lines, MOV_KEYS)
     found = covered.select(COUNTRY).distinct().collect()  # one row per country
     others = Erp({n: _without(df, [r[0] for r in found]) for n, df in erp.items()})
-    return local.unionByName(sales_posted(others, start, end, ordered=False))
+    return local.unionByName(sales_posted(others, start, end, ordered))
 
 
 def _without(df: DataFrame, countries: list[str]) -> DataFrame:

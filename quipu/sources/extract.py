@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame
 
@@ -62,10 +61,10 @@ def extract(
         stacked = consolidate(found) if found else None
         enriched = 0
         if stacked is not None and table.lower() == SALES_LINES.lower():
-            pairs = [read(c, EQUIVALENCE) for c in countries]
-            pairs = [p.select(*EAN_COLUMNS) for p in pairs if p is not None]
+            pairs = {c: read(c, EQUIVALENCE) for c in countries}
+            pairs = {c: p.select(*EAN_COLUMNS) for c, p in pairs.items() if p is not None}
             if pairs:
-                equiv = reduce(DataFrame.unionAll, pairs)
+                equiv = consolidate(pairs)  # each row looks only into its own company's table
                 stacked, enriched = with_ean(stacked, equiv, "cProductoVta"), 1
         out.tables[table] = stacked
         for country, df in frames.items():

@@ -26,7 +26,6 @@ from quipu.sources.erp import BASE_TABLES
 
 BOM = "\ufeff"
 CORRUPT = "_corrupt"
-QUOTED = '"[^"]*"'
 
 #: Columns that hold codes and stay text whatever they look like.
 CODE_PREFIXES = ("COD", "CODIGO", "NUMERO")
@@ -114,26 +113,33 @@ def warehouse_names(header: list[str]) -> list[str]:
 
 
 def spanning_files(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
-    """Each file, and whether a quoted cell in it spans lines: some line has unpaired quotes."""
+    """Each file, and whether a quoted cell in it spans lines: some line opens one and does not close it."""
     lines = spark.read.text(paths).select("value", "_metadata.file_path")
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    found = lines.groupBy("file_path").agg(F.max(quotes % 2 == 1).alias("spans"))
+    rest = F.regexp_replace("value", '(^|[,;])[ ]*"(?:[^"]|"")*"', "$1")
+    found = lines.groupBy("file_path").agg(F.max(rest.rlike('(^|[,;])[ ]*"')).alias("spans"))
     return {unquote(r.file_path): r.spans for r in found.collect()}  # one row per file
 
 
+def files_of(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The files the paths stand for, folders opened; only names are read."""
+    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+    hidden = F.col("path").rlike(r"/[_.][^/]*$")
+    return sorted(literal(r.path) for r in listed.where(~hidden).select("path").collect())
+
+
 def read_csv(
     spark: SparkSession, paths: str | list[str], normalise: bool = True, tag: str | None = None
 ) -> DataFrame:
     """Landed CSV files as text columns; ``tag`` names a column for the file a row came from.
 
-    The first line of each path (a file, or a folder of files alike) gives its delimiter and names;
-    columns that some paths lack are null there. Rows with more cells than the header are skipped,
+    The first line of each file gives its delimiter and names, also among the files of one folder;
+    columns that some files lack are null there. Rows with more cells than the header are skipped,
     shorter ones are filled with nulls, and the words for "no value" become null.
 
     Files are read in splits. Only one with a cell that spans lines has to be parsed from its start,
     by one task and as a stream; a scan for unpaired quotes finds those files.
     """
-    paths = [paths] if isinstance(paths, str) else paths
+    paths = files_of(spark, [paths] if isinstance(paths, str) else paths)
     with ThreadPoolExecutor(8) as pool:
         lines = list(pool.map(lambda path: first_line(spark, path), paths))
     alike: dict[str, list[str]] = {}
@@ -188,10 +194,11 @@ def tolerant(
 ) -> DataFrame:
     """Drop over-long rows, keep short ones, and turn words for "no value" into null.
 
-    Spark marks both kinds as corrupt and keeps their text. The delimiters outside quotes tell
-    them apart. ``tags`` are columns to pass on next to the file's own.
+    Spark marks both kinds as corrupt and keeps their text. The delimiters outside quoted cells tell
+    them apart; a quote counts only where a cell begins, inch marks within one do not. ``tags`` are
+    columns to pass on next to the file's own.
     """
-    bare = F.regexp_replace(CORRUPT, QUOTED, "")
+    bare = F.regexp_replace(CORRUPT, quoted_cell(delimiter), "$1")
     delimiters = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit("")))
     # The second test is always true. It makes every query read a cell besides the corrupt text,
     # which Spark refuses to read alone.
@@ -201,6 +208,11 @@ def tolerant(
     return kept.select(*cells, *[col(t) for t in tags])
 
 
+def quoted_cell(delimiter: str) -> str:
+    """A cell in quotes, from the start of a line or a delimiter on."""
+    return f'(^|{re.escape(delimiter)})[ ]*"(?:[^"]|"")*"'
+
+
 def is_code(name: str) -> bool:
     upper = name.upper()
     return upper in CODE_NAMES or upper.startswith(CODE_PREFIXES)

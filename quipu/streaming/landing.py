@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,12 +72,22 @@ def ingested(spark: SparkSession, target: str) -> DataFrame:
 
 
 def current_rows(rows: DataFrame) -> DataFrame:
-    """The rows of each country's newest file among all ingested ones.
+    """The rows of the newest snapshot of each country and table among all ingested ones.
 
-    There is one such file per country; their names become a filter in the scan.
+    The table is the file's name, or its folder's where Spark wrote the parts of one. All files of
+    the newest stamp belong to the snapshot. One row per file is compared; the rows themselves are
+    picked by a join on the file's name.
     """
-    newest = rows.groupBy(COUNTRY).agg(F.max_by(FILE, F.struct(STAMP, FILE)))
-    files = [r[1] for r in newest.collect()]
+    files = rows.select(COUNTRY, FILE, STAMP).distinct().withColumn("_tabla", table_of(F.col(FILE)))
+    newest = files.groupBy(COUNTRY, "_tabla").agg(F.max(F.coalesce(STAMP, F.lit(""))).alias("_ultimo"))
+    same = files.join(newest, [COUNTRY, "_tabla"]).where(F.coalesce(STAMP, F.lit("")) == F.col("_ultimo"))
+    kept = rows.join(same.select(FILE), FILE, "left_semi")
     hidden = {FILE, STAMP, BATCH}
-    kept = rows.filter(F.col(FILE).isin(files))
     return kept.select(*[col(c) for c in rows.columns if c not in hidden])
+
+
+def table_of(path: Column) -> Column:
+    """The name a landed file has without country folder, stamp and ending; parts go by their folder."""
+    inside = F.regexp_replace(path, r"/(PAIS=[^/]*/)?part-[^/]*$", "")
+    name = F.regexp_extract(inside, "([^/]+)$", 1)
+    return F.upper(F.regexp_replace(name, r"(_\d{8}_\d{6})|(_normalizado)|(\.csv$)", ""))

@@ -179,7 +179,8 @@ def test_consolidate(spark):
     out = consolidate({"CHILE": a, "PERU": b})
     got = {(r.PAIS, r.n, r.t) for r in out.collect()}
     assert got == {("CHILE", 1.0, "x"), ("PERU", 2.5, None)}
-    assert {tuple(r) for r in country_stats(out).collect()} == {("CHILE", 1, 2), ("PERU", 1, 2)}
+    stats = {tuple(r) for r in country_stats({"CHILE": a, "PERU": b}).collect()}
+    assert stats == {("CHILE", 1, 2), ("PERU", 1, 1)}
 
 
 def test_extract_records(spark):
@@ -203,12 +204,16 @@ def test_extract_stacks_countries(spark):
             [("P1", "780", "EAN12", "CL"), ("P1", "775", "EAN12", "PE")],
             "cProducto string, cProductoEquiv string, cEquivalencia string, cPais string",
         ),
+        ("PERU", "maeGC_ProductoEquiv"): spark.createDataFrame(
+            [("P1", "776", "EAN12", "PE")],
+            "cProducto string, cProductoEquiv string, cEquivalencia string, cPais string",
+        ),
         ("PERU", "RM00101"): spark.sql("SELECT 'C1' c, date '2024-01-01' d UNION ALL SELECT 'C2', date '2019-01-01'"),
     }
     names = ["movGC_VtDocumentoVtaDet", "maeGC_ProductoEquiv", "RM00101", "RM00201"]
     out = extract.extract(lambda c, t: tables.get((c, t)), date(2024, 6, 1), names)
     lines = {(r.PAIS, r.cProductoVta, r.n, r.extra, r.EAN) for r in out.tables[names[0]].collect()}
-    assert lines == {("CHILE", "P1", 1, None, "780"), ("CHILE", "P2", 2, None, ""), ("PERU", "P1", 3, "x", "775")}
+    assert lines == {("CHILE", "P1", 1, None, "780"), ("CHILE", "P2", 2, None, ""), ("PERU", "P1", 3, "x", "776")}
     assert [r.c for r in out.tables["RM00101"].collect()] == ["C1"]
     assert out.tables["RM00201"] is None
     records = {(r.tabla, r.pais): (r.registros, r.columnas, r.estado) for r in out.records().collect()}
@@ -285,10 +290,40 @@ class FakeSession:
 
 def test_scratch_folder_is_the_sessions(spark):
     assert session.scratch_path(FakeSession("/shared/", "yarn"), "x").startswith("/shared/x-")
-    alone = FakeSession(None, "local[2]")
-    assert session.shared_dir(alone) == session.shared_dir(alone)
+    assert session.shared_dir(spark).endswith("/_scratch") or spark.conf.get("spark.checkpoint.dir", None)
+
+
+def test_quotes_count_only_where_a_cell_begins(spark, tmp_path):
+    path = write(tmp_path, "inch.csv", 'A,B,C\n1,5",6",9\n2,"x,y",3\n4,5",6"\n')
+    got = rows(landing.read_csv(spark, path))
+    assert sorted(got) == [("2", "x,y", "3"), ("4", '5"', '6"')]
+
+
+def test_files_of_one_folder_keep_their_own_headers(spark, tmp_path):
+    write(tmp_path / "in", "1.csv", "A,B\n1,2\n")
+    write(tmp_path / "in", "2.csv", "B,A\n20,10\n")
+    got = {(r.A, r.B) for r in landing.read_csv(spark, str(tmp_path / "in")).collect()}
+    assert got == {("1", "2"), ("10", "20")}
+
+
+def test_current_rows_keep_every_table_and_part(spark):
+    data = [
+        ("CHILE", "f:/l/CHILE/Ventas_20240101_000000.csv", "20240101_000000", 1),
+        ("CHILE", "f:/l/CHILE/Ventas_20240201_000000.csv/part-0.csv", "20240201_000000", 2),
+        ("CHILE", "f:/l/CHILE/Ventas_20240201_000000.csv/part-1.csv", "20240201_000000", 3),
+        ("CHILE", "f:/l/CHILE/Clientes_20230101_000000.csv", "20230101_000000", 4),
+    ]
+    df = spark.createDataFrame(data, f"PAIS string, {stream.FILE} string, {stream.STAMP} string, n int")
+    assert sorted(r.n for r in stream.current_rows(df).collect()) == [2, 3, 4]
+
+
+def test_a_country_on_one_side_only_is_refused(spark):
+    from quipu.operators.joins import on_keys
+
+    plain, owned = spark.sql("SELECT 1 k"), spark.sql("SELECT 1 k, 'PERU' PAIS")
+    assert on_keys(owned, plain, "k") == ["k"] and on_keys(owned, owned, "k") == ["PAIS", "k"]
     with pytest.raises(ValueError):
-        session.shared_dir(FakeSession(None, "yarn"))
+        on_keys(plain, owned, "k")
 
 
 def test_files_with_different_headers_and_odd_names(spark, tmp_path):

@@ -104,3 +104,16 @@ def test_schema_drift(spark):
     declared = drift.schema_drift({"CHILE": same}, "T", ["a", "c"])
     assert {(r.columna, r.kind) for r in declared.collect()} == {("c", "COLUMN_MISSING"), ("b", "COLUMN_EXTRA")}
     assert drift.schema_drift({"CHILE": same, "PERU": same}, "T").isEmpty()
+
+
+def test_a_schema_change_is_a_modification(spark):
+    old = spark.createDataFrame([(1, "a", "x")], "k int, v string, w string")
+    assert integrity.snapshot_diff(old, old.drop("w"), ["k"]).first().resultado == "MODIFICADO"
+    new = old.selectExpr("*", "1 AS added")
+    assert integrity.snapshot_diff(old, new, ["k", "added"]).first().resultado == "MODIFICADO"
+
+
+def test_separators_within_cells_do_not_make_rows_equal(spark):
+    one = spark.createDataFrame([("a\x1fb", "c")], "p string, q string")
+    two = spark.createDataFrame([("a", "b\x1fc")], "p string, q string")
+    assert integrity.fingerprint(one).first() != integrity.fingerprint(two).first()
