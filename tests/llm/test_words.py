@@ -79,7 +79,7 @@ def test_boilerplate_goes_and_depleted_documents_too(spark):
 def test_plan_respects_every_capacity(rule):
     random.seed(3)
     lengths = Counter(random.choice([1, 3, 50, 99, 100]) for _ in range(3000))
-    cap = packing.Capacity(100, 20, 9000, (1.0, 0.5, 0.5), rule)
+    cap = packing.Capacity(100, 20, 9900, (1.0, 0.5, 0.5), rule)
     with pytest.raises(ValueError):
         packing.plan({100: 1}, cap)
     del lengths[100]
@@ -94,7 +94,7 @@ def test_plan_respects_every_capacity(rule):
             state[1] += each
             state[2] += each * length * length
     assert placed == lengths
-    assert all(a <= 100 and b <= 20 and c <= 9000 for a, b, c in bins.values())
+    assert all(a <= 100 and b <= 20 and c <= 9900 for a, b, c in bins.values())
 
 
 def test_pieces_fill_sequences_without_gaps(spark):
