@@ -133,7 +133,7 @@ def main_text(page: str | None, weights: dict[str, float]) -> str:
 def weights_from(inside: Counter, outside: Counter) -> dict[str, float]:
     """Log odds of words and tags; words at least a little positive, tags a little negative."""
     ins, outs = sum(inside.values()), sum(outside.values())
-    names = {*inside, *outside}
+    names = {"#word", *inside, *outside}
 
     def odds(name: str) -> float:
         return math.log((inside[name] + 1) / (ins + len(names))) - math.log((outside[name] + 1) / (outs + len(names)))
