@@ -1,11 +1,11 @@
 """Tool-call linking for chat data.
 
 Calls and results are joined by conversation and identifier; what has no partner is kept and said so. Calls are
-ordered by their dependencies: a call's level is one more than that of the calls whose results it uses, found
-round by round, each round a join of the calls that became free (as many rounds as the longest
-chain is long). Calls in a circle, or that need a call which is not there, get no level. Arguments are
-validated against the tool's schema, and call and result are serialised as canonical JSON: keys sorted, no
-blanks, characters as they are, numbers in their shortest form.
+ordered by their dependencies: a call's level is one more than that of the calls whose results it uses. Chains
+of calls that use one call each are followed by doubling, in rounds by the logarithm of their length;
+calls that use several take one more pass for each layer of such calls. Calls in a circle, or that need a call
+which is not there, get no level. Arguments are validated against the tool's schema, and call and result are
+serialised as canonical JSON: keys sorted, no blanks, characters as they are, numbers in their shortest form.
 
 Nothing is gathered by conversation: the rows carry (level, turn, call_id) as their order, so one conversation may
 hold any share of the rows. Repeated calls of one identifier link with the first turn's result each; repeated results
@@ -114,28 +114,90 @@ def _no_constant(name: str) -> None:
     raise ValueError(name)
 
 
+def _merged(waits: DataFrame) -> DataFrame:
+    """One row for each call that a call waits for, and one for what it need not wait for any more."""
+    return waits.groupBy("conv_id", "call_id", "needs", F.col("w").isNull().alias("known")).agg(
+        F.max("w").alias("w"), F.max("b").alias("b")
+    )
+
+
+def _led(waits: DataFrame, by: DataFrame) -> DataFrame:
+    """Open rows with the call they wait for replaced by what that call waits for, where ``by`` says so."""
+    at = by.select(
+        "conv_id",
+        F.col("call_id").alias("needs"),
+        F.col("needs").alias("to"),
+        F.col("w").alias("more"),
+        F.col("b").alias("least"),
+    )
+    met = waits.select("conv_id", "call_id", "needs", "w", "b").join(at, ["conv_id", "needs"], "left")
+    moved = F.col("least").isNotNull()
+    return met.select(
+        "conv_id",
+        "call_id",
+        F.when(moved, F.col("to")).otherwise(F.col("needs")).alias("needs"),
+        F.when(moved, F.col("w") + F.col("more")).otherwise(F.col("w")).alias("w"),
+        F.when(moved, F.greatest("b", F.col("least") + F.col("w"))).otherwise(F.col("b")).alias("b"),
+        moved.alias("moved"),
+    )
+
+
 def levels(calls: DataFrame) -> DataFrame:
-    """(conv_id, call_id, level) of every call that does not wait for a circle or for a missing call."""
-    nodes = calls.where("conv_id is not null and call_id is not null").select("conv_id", "call_id", "uses")
-    edges = nodes.select("conv_id", "call_id", F.explode("uses").alias("needs")).distinct()
-    nodes = nodes.select("conv_id", "call_id").distinct()
-    edges = staged(edges, "edges")
-    free = staged(nodes.join(edges, ["conv_id", "call_id"], "left_anti").withColumn("level", F.lit(0)), "level")
-    done = [free]
-    while not free.isEmpty():
-        known = done[0]
-        for x in done[1:]:
-            known = known.union(x)
-        known = known.select("conv_id", F.col("call_id").alias("needs"), F.col("level").alias("at"))
-        met = edges.join(known, ["conv_id", "needs"], "left").groupBy("conv_id", "call_id")
-        ready = met.agg(F.max("at").alias("at"), F.bool_and(F.col("at").isNotNull()).alias("all"))
-        ready = ready.where(F.col("all") & (F.col("at") == len(done) - 1))
-        free = staged(ready.select("conv_id", "call_id", F.lit(len(done)).alias("level")), "level")
-        done.append(free)
-    out = done[0]
-    for x in done[1:]:
-        out = out.union(x)
-    return out
+    """(conv_id, call_id, level) of every call that does not wait for a circle or for a missing call.
+
+    A row (call, needs, w, b) says that the call's level is at least b and, where w is not null, at least w more
+    than that of the call it needs. Calls that need one call form chains, and each round replaces the call
+    at the end of a chain by that call's own end: the reach doubles, so that a chain of n calls takes log n rounds. Calls
+    that need several take what their chains lead to; those left with one are a chain again.
+    """
+    columns = ("conv_id", "call_id", "needs", "w", "b")
+    named = calls.where("conv_id is not null and call_id is not null")
+    first = named.select(
+        "conv_id",
+        "call_id",
+        F.explode_outer("uses").alias("needs"),
+        F.when(F.size("uses") > 0, F.lit(1)).alias("w"),
+        F.lit(0).alias("b"),
+    )
+    waits, settled, chain = staged(_merged(first), "waits"), [], None
+    while True:
+        each = staged(
+            waits.groupBy("conv_id", "call_id").agg(
+                F.count("w").alias("open"),
+                F.max(F.when(F.col("w").isNotNull(), F.col("needs"))).alias("needs"),
+                F.max("w").alias("w"),
+                F.max("b").alias("b"),
+            ),
+            "each",
+        )
+        if settled and each.where("open < 2").isEmpty():
+            break
+        settled.append(each.where("open = 0").select(*columns))
+        fresh = each.where("open = 1").select(*columns)
+        chain = fresh if chain is None else chain.union(fresh)
+        for _ in range(chain.count().bit_length() + 1):
+            by = chain
+            for done in settled:
+                by = by.union(done)
+            led = staged(_led(chain, by), "led")
+            settled.append(led.where("w is null").select(*columns))
+            chain = led.where("w is not null").select(*columns)
+            if led.where("moved and w is not null").isEmpty():
+                break
+        else:  # a chain that is still moving after so many rounds leads to a circle
+            chain = led.where("w is not null and not moved").select(*columns)
+        several = waits.join(each.where("open > 1").select("conv_id", "call_id"), ["conv_id", "call_id"], "left_semi")
+        by = chain
+        for done in settled:
+            by = by.union(done)
+        further = _led(several.where("w is not null"), by).select(*columns)
+        waits = staged(_merged(further.union(several.where("w is null").select(*columns))), "waits")
+        if waits.isEmpty():
+            break
+    out = settled[0]
+    for done in settled[1:]:
+        out = out.union(done)
+    return out.select("conv_id", "call_id", F.col("b").alias("level"))
 
 
 def linked(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:

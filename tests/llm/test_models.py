@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from quipu.llm import contain, jaccard, language, secrets, tools
@@ -202,3 +203,33 @@ def test_tool_calls(spark):
     assert tools.canonical({"b": 1.0, "a": ["é", 2.5]}) == '{"a":["é",2.5],"b":1}'
     assert json.loads(rows[1, "x"].json)["call"]["id"] == "x"
     assert tools.linked(calls.limit(0), results.limit(0), SCHEMAS).count() == 0
+
+
+def brute_levels(uses):
+    """Levels by repeated passes over plain dictionaries: {call: [calls it needs]}."""
+    level, changed = {}, True
+    while changed:
+        changed = False
+        for call, needs in uses.items():
+            if call not in level and all(x in level for x in needs):
+                level[call] = max((level[x] + 1 for x in needs), default=0)
+                changed = True
+    return level
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_levels_of_random_calls(spark, seed):
+    """Trees, several needs, circles, missing and null needs, and a chain of 300 calls."""
+    rng = np.random.default_rng(seed)
+    uses = {(0, f"c{i}"): [] if i == 0 else [f"c{i - 1}"] for i in range(300)}
+    for conv in range(1, 5):
+        for i in range(60):
+            n = int(rng.choice([0, 1, 1, 1, 2, 3]))
+            back = [f"c{j}" for j in rng.integers(0, max(i, 1), n)] if i else []
+            uses[conv, f"c{i}"] = back
+        uses[conv, "c7"] = uses[conv, "c7"] + [["c30"], ["none"], [None], []][conv - 1]
+    rows = [(c, 0, k, "t", "{}", v) for (c, k), v in uses.items()]
+    found = tools.levels(spark.createDataFrame(rows, tools.CALLS)).collect()
+    plain = {k: [(k[0], x) for x in v] for k, v in uses.items()}
+    assert len(found) == len({(r.conv_id, r.call_id) for r in found})
+    assert {(r.conv_id, r.call_id): r.level for r in found} == brute_levels(plain)
