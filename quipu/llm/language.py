@@ -40,6 +40,8 @@ LOW48 = np.uint64((1 << 48) - 1)
 PER_RANGE = 1_000_000
 SALTS = 64
 HELD = 1_200_000
+#: Files a worker has mapped at a time; a process may have some 65,000 maps.
+MAPPED = 8_192
 FOLDS, HELD_OUT = 7, 2
 
 
@@ -347,6 +349,8 @@ class Mapped:
 
     def file(self, name: str) -> np.ndarray | None:
         if name not in self.files:
+            if len(self.files) >= MAPPED:
+                del self.files[next(iter(self.files))]
             path = f"{self.model.folder}/{name}.npy"
             self.files[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
         return self.files[name]

@@ -26,14 +26,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quipu.llm.common import local_path, staged
+from quipu.llm.common import local_path, small, staged
 from quipu.llm.tokens import encoded, vocabulary
 from quipu.llm.words import mix
 
 CODEC = ("zstd", 4)
+GROUP = 1000  # read tasks whose blocks are numbered by one task
 BLOCK_IDS = 8 << 20  # ids held by a task before it sends them on
 END_ID = 0
 RESULT = "slot long, shard int, byte_offset long, first_doc_id long, ids_crc32 long"
@@ -129,6 +130,20 @@ def sequences(docs: DataFrame, path: str, layout: Layout) -> DataFrame:
 _SEQUENCE = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary())
 
 
+def block_starts(blocks: DataFrame) -> DataFrame:
+    """(part, block, start): the number of each block's first sequence.
+
+    Groups of read tasks are summed first, so that one task orders the groups and others their blocks.
+    """
+    sizes = blocks.select(F.floor(F.col("part") / GROUP).alias("group"), "part", "block", "n")
+    before = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    base = sizes.groupBy("group").agg(F.sum("n").alias("n"))
+    base = base.select("group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("group").orderBy("part", "block").rowsBetween(Window.unboundedPreceding, -1)
+    own = sizes.withColumn("own", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return own.join(base, "group").select("part", "block", (F.col("base") + F.col("own")).alias("start"))
+
+
 def shard_file(folder: str, shard: int) -> str:
     return f"{folder}/shard-{shard:06d}.bin"
 
@@ -144,12 +159,9 @@ def materialised(docs: DataFrame, vocabulary_path: str, folder: str, layout: Lay
     if vocabulary(vocabulary_path).n_vocab > 1 << (8 * layout.id_bytes):
         raise ValueError("the vocabulary needs four bytes an id")
     blocks = staged(sequences(docs, vocabulary_path, layout), "sequences")
-    sizes = blocks.select("part", "block", "n").orderBy("part", "block").collect()  # a row for each 8M ids
-    counts = np.array([r["n"] for r in sizes], np.int64)
-    total = int(counts.sum())
-    starts = {(r["part"], r["block"]): int(s) for r, s in zip(sizes, np.cumsum(counts) - counts)}
+    total = blocks.agg(F.sum("n").alias("n")).first()["n"] or 0
+    numbered = blocks.join(small(staged(block_starts(blocks), "starts")), ["part", "block"])
     shards = -(-total // layout.per_shard)
-    table = docs.sparkSession.sparkContext.broadcast(starts)
 
     def size_of(shard: int) -> int:
         return (min((shard + 1) * layout.per_shard, total) - shard * layout.per_shard) * layout.stride
@@ -157,21 +169,16 @@ def materialised(docs: DataFrame, vocabulary_path: str, folder: str, layout: Lay
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                n = row["n"]
-                start = table.value[row["part"], row["block"]]
+                n, start = row["n"], row["start"]
                 slot = permuted(np.arange(start, start + n), total, layout.key)
                 raw = _codec().decompress(row["ids"], n * layout.stride, asbytes=True)
                 ids = np.frombuffer(raw, np.uint8).reshape(n, layout.stride)
                 docs = np.frombuffer(row["docs"], np.int64)
                 to = slot // layout.per_shard
                 order = np.argsort(to, kind="stable")
-                cuts = np.searchsorted(to[order], np.arange(shards + 1))
-                for shard in range(shards):
-                    here = order[cuts[shard] : cuts[shard + 1]]
-                    if not len(here):
-                        continue
+                for here in np.split(order, np.flatnonzero(np.diff(to[order])) + 1):
                     packed = _codec().compress(ids[here].tobytes(), asbytes=True)
-                    out = [[shard], [slot[here].tobytes()], [docs[here].tobytes()], [packed]]
+                    out = [[int(to[here[0]])], [slot[here].tobytes()], [docs[here].tobytes()], [packed]]
                     names = ["shard", "slots", "docs", "ids"]
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _DEALT)], names)
 
@@ -208,7 +215,7 @@ def materialised(docs: DataFrame, vocabulary_path: str, folder: str, layout: Lay
 
     names_out = ["slot", "shard", "byte_offset", "first_doc_id", "ids_crc32"]
     schema = "shard int, slots binary, docs binary, ids binary"
-    by_shard = blocks.mapInArrow(dealt, schema).repartition(max(1, shards), "shard")
+    by_shard = numbered.select("n", "start", "docs", "ids").mapInArrow(dealt, schema).repartition(max(1, shards), "shard")
     return by_shard.mapInArrow(written, RESULT)
 
 

@@ -30,6 +30,7 @@ KEYWORD = r"(?i)(passw(or)?d|pwd|secret|token|api[_-]?key|access[_-]?key|auth|cr
 PROVIDER = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})$"
 PART = r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 MASK = "<secret>"
+RUN_PARTS = 256
 
 FEATURES = (
     "length",
@@ -61,32 +62,42 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
     keep = ("doc_id", "text_key", "source", "lead")
     parts = once(held, F.regexp_extract_all("text", F.lit(PART), F.lit(0)), "parts", *keep)
+
+    def size(column: str, first: Column, n: Column) -> Column:
+        of = F.length if column == "parts" else lambda x: x
+        return F.aggregate(F.slice(column, first, n), F.lit(0), lambda total, x: total + of(x))
+
+    # lengths of runs of parts, so that a candidate's place needs neither all the text before it nor a copy of it
+    runs = F.sequence(F.lit(0), F.floor((F.size("parts") - 1) / RUN_PARTS).cast("int"))
+    runs = F.transform(runs, lambda c: size("parts", c * RUN_PARTS + 1, F.lit(RUN_PARTS)))
+    parts = once(parts, runs, "runs", *keep, "parts")
     at = F.filter(
         F.sequence(F.lit(1), F.size("parts")),
         lambda i: F.element_at("parts", i).rlike(CANDIDATE),
     )
-    found = parts.select(*keep, "parts", F.explode(at).alias("i"))
 
     def word(i: Column) -> Column:
         inside = (i >= 1) & (i <= F.size("parts"))
         part = F.element_at("parts", F.when(inside, i).otherwise(F.lit(1)))
         return F.when(inside, F.rtrim(part, F.lit(" \t\n\x0b\f\r"))).otherwise(F.lit(""))
 
-    before = F.aggregate(F.slice("parts", 1, F.col("i") - 1), F.lit(0), lambda n, p: n + F.length(p))
-    i = F.col("i")
-    named = found.select(
-        "doc_id",
-        "text_key",
-        "source",
-        (F.col("lead") + before).alias("at"),
-        word(i).alias("own"),
-        word(i - 1).alias("before"),
-        word(i - 2).alias("earlier"),
-        word(i + 1).alias("after"),
+    def place(i: Column) -> Column:
+        run = F.floor((i - 1) / RUN_PARTS).cast("int")
+        before = size("runs", F.lit(1), run) + size("parts", run * RUN_PARTS + 1, i - 1 - run * RUN_PARTS)
+        around = {"own": word(i), "before": word(i - 1), "earlier": word(i - 2), "after": word(i + 1)}
+        return F.struct((F.col("lead") + before).alias("at"), *[c.alias(name) for name, c in around.items()])
+
+    around = ("own", "before", "earlier", "after")
+    found = parts.select(*keep, F.explode(F.transform(at, place)).alias("x"))
+    named = found.select("doc_id", "text_key", "source", *[f"x.{c}" for c in ("at", *around)])
+    values = F.regexp_extract_all("own", F.lit(CANDIDATE), F.lit(0))
+    several = named.select("*", values.alias("values"), F.split("own", CANDIDATE, -1).alias("gaps"))
+    each = several.select("doc_id", "text_key", "source", "at", *around, "values", "gaps", F.posexplode("values").alias("nth", "value"))
+    start = F.col("at") + sum(
+        F.aggregate(F.slice(c, 1, F.col("nth") + more), F.lit(0), lambda n, x: n + F.length(x))
+        for c, more in (("gaps", 1), ("values", 0))
     )
-    values = named.withColumn("value", F.explode(F.regexp_extract_all("own", F.lit(CANDIDATE), F.lit(0))))
-    start = F.col("at") + F.instr("own", F.col("value")) - 1
-    return values.withColumn("start", start.cast("long")).drop("at")
+    return each.select("doc_id", "text_key", "source", *around, "value", start.cast("long").alias("start"))
 
 
 def dictionary(docs: DataFrame, most: int) -> DataFrame:

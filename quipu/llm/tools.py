@@ -5,7 +5,8 @@ ordered by their dependencies: a call's level is one more than that of the calls
 of calls that use one call each are followed by doubling, in rounds by the logarithm of their length;
 calls that use several take one more pass for each layer of such calls. Calls in a circle, or that need a call
 which is not there, get no level. Arguments are validated against the tool's schema, and call and result are
-serialised as canonical JSON: keys sorted, no blanks, characters as they are, numbers in their shortest form.
+serialised as canonical JSON: keys sorted, no blanks, characters as they are, numbers in their shortest form. Numbers
+beyond a double, half a surrogate pair and nesting beyond Python's depth are broken arguments.
 
 Nothing is gathered by conversation: the rows carry (level, turn, call_id) as their order, so one conversation may
 hold any share of the rows. Repeated calls of one identifier link with the first turn's result each; repeated results
@@ -53,15 +54,21 @@ def canonical(value: Any) -> str:
     return json.dumps(plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
+def _is(value: Any, kind: str) -> bool:
+    """Whether a value has a JSON type; 2.0 is an integer, true is no number."""
+    if isinstance(value, bool):
+        return kind == "boolean"
+    return isinstance(value, TYPES[kind]) or (kind == "integer" and isinstance(value, float) and value.is_integer())
+
+
 def problems(value: Any, schema: dict, path: str = "$") -> list[str]:
-    """What of a value breaks a schema (type, enum, bounds, required, properties, items), in order."""
+    """What of a value breaks a schema (type or types, enum, bounds, required, properties, items), in order."""
     out = []
-    kind = schema.get("type")
-    if kind is not None:
-        fits = isinstance(value, TYPES[kind]) and (kind == "boolean" or not isinstance(value, bool))
-        if not fits:
-            return [f"{path}: not {kind}"]
-    if "enum" in schema and value not in schema["enum"]:
+    kinds = schema.get("type", [])
+    kinds = [kinds] if isinstance(kinds, str) else kinds
+    if kinds and not any(_is(value, kind) for kind in kinds):
+        return [f"{path}: not {' or '.join(kinds)}"]
+    if "enum" in schema and canonical(value) not in map(canonical, schema["enum"]):
         out.append(f"{path}: not in enum")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         out += [f"{path}: below minimum"] if value < schema.get("minimum", value) else []
@@ -92,17 +99,17 @@ def validated(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
             out = []
             for row in batch.to_pylist():
                 try:
-                    value = json.loads(row["arguments"], parse_constant=_no_constant)
+                    value = json.loads(row["arguments"], parse_constant=_no_constant, parse_float=_finite)
                     schema = schemas.get(row["name"])
                     errors = ["$: unknown tool"] if schema is None else problems(value, schema)
+                    text = _whole(row, value)
+                    text.encode()
                 except (TypeError, ValueError, RecursionError):
-                    value, errors = None, ["$: not JSON"]
-                call = {"id": row["call_id"], "name": row["name"], "arguments": value}
-                whole = {"call": call, "result": row["content"], "level": row["level"], "linked": row["linked"]}
-                out.append((not errors, errors, canonical(whole)))
+                    errors, text = ["$: not JSON"], _whole(row, None)
+                out.append((not errors, errors, text))
             if out:
-                valid, errors, text = zip(*out)
-                added = [pa.array(valid), pa.array(errors, pa.list_(pa.string())), pa.array(text)]
+                valid, errors, texts = zip(*out)
+                added = [pa.array(valid), pa.array(errors, pa.list_(pa.string())), pa.array(texts)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*kept, "valid", "errors", "json"])
 
     schema = "conv_id long, turn long, call_id string, name string, arguments string, linked boolean"
@@ -110,10 +117,22 @@ def validated(calls: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     return calls.select(*kept).mapInArrow(run, schema)
 
 
+def _whole(row: dict, value: Any) -> str:
+    """A call with its result as one text."""
+    call = {"id": row["call_id"], "name": row["name"], "arguments": value}
+    return canonical({"call": call, "result": row["content"], "level": row["level"], "linked": row["linked"]})
+
+
 def _no_constant(name: str) -> None:
     raise ValueError(name)
 
 
+def _finite(digits: str) -> float:
+    if abs(value := float(digits)) == float("inf"):
+        raise ValueError(digits)
+    return value
+
+
 def _merged(waits: DataFrame) -> DataFrame:
     """One row for each call that a call waits for, and one for what it need not wait for any more."""
     return waits.groupBy("conv_id", "call_id", "needs", F.col("w").isNull().alias("known")).agg(
