@@ -233,3 +233,61 @@ def test_levels_of_random_calls(spark, seed):
     plain = {k: [(k[0], x) for x in v] for k, v in uses.items()}
     assert len(found) == len({(r.conv_id, r.call_id) for r in found})
     assert {(r.conv_id, r.call_id): r.level for r in found} == brute_levels(plain)
+
+
+def test_candidates_stand_where_a_pattern_finds_them(spark):
+    random.seed(8)
+
+    def word():
+        if random.random() < 0.1:
+            parts = ("".join(random.choice("abcXYZ0189") for _ in range(random.choice([11, 12, 20]))) for _ in range(2))
+            return "k='{}',q={}".format(*parts)
+        return "".join(random.choice("ab\u00e9") for _ in range(random.randrange(1, 9)))
+
+    def text(n):
+        return random.choice(["", " \n"]) + "".join(word() + random.choice([" ", "\n", "  "]) for _ in range(n))
+
+    data = list(enumerate([text(n) for n in (1, 5, 255, 256, 257, 3000)] + ["xabcdefgh1234567=abcdefgh1234567", None, ""]))
+    docs = spark.createDataFrame([(i, t, "s", 0, "x") for i, t in data], DOCS)
+    found = sorted((r.doc_id, r.start, r.value) for r in secrets.candidates(docs).collect())
+    assert found == sorted((i, m.start(), m[0]) for i, t in data for m in re.finditer(secrets.CANDIDATE, t or ""))
+
+
+def test_broken_arguments(spark):
+    schema = {"type": "object", "properties": {"a": {"type": ["integer", "null"]}, "b": {"enum": [True]}}}
+    texts = {
+        '{"a":1e999}': False,
+        '{"a":"\\ud800"}': False,
+        '{"\\ud800":1}': False,
+        "[" * 100_000: False,
+        '{"x":' * 5000 + "1" + "}" * 5000: False,
+        "NaN": False,
+        "null": False,
+        "9" * 5000: False,
+        '{"a":2.0}': True,
+        '{"a":null}': True,
+        '{"a":true}': False,
+        '{"b":1}': False,
+        '{"b":true}': True,
+        '{"z":"\\u00e9","a":1e2}': True,
+    }
+    calls = [(1, i, f"c{i}", "f", text, None) for i, text in enumerate(texts)]
+    calls = spark.createDataFrame([*calls, (None, None, None, None, None, [None])], tools.CALLS)
+    out = {r.turn: r for r in tools.linked(calls, spark.createDataFrame([], tools.RESULTS), {"f": schema}).collect()}
+    assert [out[i].valid for i in range(len(texts))] == list(texts.values()) and not out[None].valid
+    for r in out.values():
+        json.loads(r.json)
+    assert '"arguments":{"a":100,"z":"\u00e9"}' in out[len(texts) - 1].json
+    assert tools.problems(2.5, {"type": ["integer", "null"]}) == ["$: not integer or null"]
+
+
+def test_scores_do_not_depend_on_the_number_of_mapped_files(spark, monkeypatch):
+    random.seed(5)
+    data = [(i, " ".join(random.choice("abcdefgh") for _ in range(20))) for i in range(30)]
+    docs = spark.createDataFrame([(i, t, "s", 0, "x") for i, t in data], DOCS)
+    model = language.train(docs)
+    word = np.array([1, 20, 30], np.uint64)
+    whole = language.Mapped(model).scores(word, word)
+    monkeypatch.setattr(language, "MAPPED", 2)
+    few = language.Mapped(model)
+    assert all((a == b).all() for a, b in zip(whole, few.scores(word, word))) and len(few.files) <= 2

@@ -167,3 +167,13 @@ def test_main_text(spark):
     assert found[9].text == found[10].text == "" and found[None].text == "plain words"
     assert found[11].text.startswith("Head & line\nOne two")
     assert extraction.extract(pages.limit(0)).count() == 0
+
+
+def test_block_starts(spark, monkeypatch):
+    monkeypatch.setattr(order, "GROUP", 3)
+    blocks = [(p, b, random.randrange(9)) for p in range(10) if p != 4 for b in range(random.randrange(4))]
+    starts, at = {}, 0
+    for p, b, n in blocks:
+        starts[p, b], at = at, at + n
+    frame = spark.createDataFrame(random.sample(blocks, len(blocks)), "part int, block int, n long")
+    assert {(r.part, r.block): r.start for r in order.block_starts(frame).collect()} == starts
