@@ -480,6 +480,11 @@ SELECT SOPNUMBE, cast(SOPTYPE AS varchar) AS SOPTYPE, cast(DOCDATE AS varchar) A
   rtrim(CUSTNMBR) AS CUSTNMBR, BACHNUMB, cast(SUBTOTAL AS varchar) AS SUBTOTAL,
   cast(TAXAMNT AS varchar) AS TAXAMNT, cast(DOCAMNT AS varchar) AS DOCAMNT, PAIS
 FROM SOP30200""",
+    "report_to_table": ctes("SOP30200", "RM00101")
+    + """ SELECT PAIS AS pais, concat(kind, PAIS) AS tabla, count(*) AS filas_cargadas,
+  cast(sum(amount) AS decimal(38,5)) AS total
+FROM (SELECT PAIS, 'DOCUMENTOS_' AS kind, DOCAMNT AS amount FROM SOP30200
+  UNION ALL SELECT PAIS, 'CLIENTES_', CRLMTAMT FROM RM00101) GROUP BY PAIS, kind""",
     "replace_with_backup": """
 SELECT 'ORDERS_CHILE' AS tabla, count(*) AS filas, 6 AS columnas FROM orders WHERE o_orderstatus <> 'F'
 UNION ALL SELECT 'ORDERS_CHILE_OLD', count(*), 6 FROM orders WHERE o_orderstatus = 'F'""",

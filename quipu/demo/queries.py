@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -514,6 +515,25 @@ def _database(spark) -> str:
     return name
 
 
+@query
+def report_to_table(spark, sf):
+    """Two reports, exported twice, landed by country, and the newer content loaded with its types."""
+    tables = erp(spark, sf, "SOP30200", "RM00101")
+    reports_ = {"Documentos": (tables["SOP30200"], "DOCAMNT"), "Clientes": (tables["RM00101"], "CRLMTAMT")}
+    root, name, sums = scratch_path(spark, "reports"), _database(spark), []
+    for at, part in ((datetime(2024, 1, 5), F.col(COUNTRY) != "PERU"), (datetime(2024, 2, 5), F.lit(True))):
+        for report, (df, _) in reports_.items():
+            load.export(df.filter(part), root, report, at)
+    declared = {r.upper(): {amount: "decimal(19,5)"} for r, (_, amount) in reports_.items()}
+    records = load.load_landing(spark, root, name, declared=declared).select("pais", "tabla", "filas_cargadas")
+    for report, (_, amount) in reports_.items():
+        for country in COUNTRIES:
+            stored = spark.table(load.full_name(name, f"{report}_{country}".upper()))
+            total = F.sum(amount).cast("decimal(38,5)").alias("total")
+            sums.append(stored.agg(total).withColumn("tabla", F.lit(f"{report}_{country}".upper())))
+    return records.join(reduce(DataFrame.unionAll, sums), "tabla")
+
+
 @query
 def replace_with_backup(spark, sf):
     orders = table(spark, sf, "orders")

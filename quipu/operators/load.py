@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -14,7 +15,7 @@ from quipu.functions.text import col, quoted, scrub_control_chars
 from quipu.operators.joins import COUNTRY
 from quipu.operators.runlog import LOAD_RECORD
 from quipu.sources.erp import date_column
-from quipu.sources.landing import landed_files, latest_snapshots, literal, read_csv
+from quipu.sources.landing import FILE_NAME, landed_files, latest_snapshots, literal, read_csv, typed
 
 BACKUP = "_OLD"
 
@@ -129,11 +130,18 @@ def replace_with_backup(
     return True
 
 
-def load_file(spark: SparkSession, path: str, country: str, table: str, database: str) -> tuple:
-    """Load one landed file into its table and return its record."""
-    file = path.rsplit("/", 1)[-1]
+def load_file(
+    spark: SparkSession,
+    path: str,
+    country: str,
+    table: str,
+    database: str,
+    types: Mapping[str, str] | None = None,
+) -> tuple:
+    """Load one landed file into its table and return its record; columns get their declared types."""
+    file = re.search(FILE_NAME, path)[1]
     try:
-        rows = read_csv(spark, literal(path))
+        rows = typed(read_csv(spark, literal(path)), types or {})
         loaded = replace_with_backup(spark, rows, database, table)
         count = spark.table(full_name(database, table)).count() if loaded else 0
         return file, country, table, count, count, loaded, None
@@ -142,16 +150,22 @@ def load_file(spark: SparkSession, path: str, country: str, table: str, database
 
 
 def load_landing(
-    spark: SparkSession, root: str, database: str, at_once: int = 4
+    spark: SparkSession,
+    root: str,
+    database: str,
+    at_once: int = 4,
+    declared: Mapping[str, Mapping[str, str]] | None = None,
 ) -> DataFrame:
     """Load the newest snapshot of every table found below ``root``; one record per file.
 
-    There is one such file per table and country. Each load is a Spark job of its own, and
+    ``declared`` has the column types of known tables, by their name without the country; columns
+    of others stay text. There is one such file per table and country. Each load is a Spark job of its own, and
     ``at_once`` of them run side by side, so that small files do not leave the cluster idle.
     """
     newest = latest_snapshots(landed_files(spark, root)).orderBy("PAIS", "nombre")
     picked = newest.select("path", "PAIS", "tabla").collect()  # a name per table and country
     with ThreadPoolExecutor(at_once) as pool:
-        load = lambda r: load_file(spark, r.path, r.PAIS, r.tabla, database)
+        types = lambda r: (declared or {}).get(r.tabla.removesuffix(f"_{r.PAIS.upper()}"))
+        load = lambda r: load_file(spark, r.path, r.PAIS, r.tabla, database, types(r))
         records = list(pool.map(load, picked))
     return spark.createDataFrame(records, LOAD_RECORD)

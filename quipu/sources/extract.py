@@ -28,9 +28,11 @@ class Extraction:
 
     tables: dict[str, DataFrame | None] = field(default_factory=dict)
     attempts: list[tuple[str, str, int | None]] = field(default_factory=list)
+    counted: dict[str, DataFrame | None] = field(default_factory=dict)
 
     def records(self) -> DataFrame:
-        return extract_records(self.tables, self.attempts)
+        """Rows are counted before barcodes are looked up, which neither adds nor drops any."""
+        return extract_records(self.counted, self.attempts)
 
 
 def extract(
@@ -60,6 +62,7 @@ def extract(
         found = {c: df for c, df in frames.items() if df is not None}
         stacked = consolidate(found) if found else None
         enriched = 0
+        out.counted[table] = stacked
         if stacked is not None and table.lower() == SALES_LINES.lower():
             pairs = {c: read(c, EQUIVALENCE) for c in countries}
             pairs = {c: p.select(*EAN_COLUMNS) for c, p in pairs.items() if p is not None}

@@ -60,17 +60,14 @@ def read_table(
     spark: SparkSession,
     country: str,
     table: str,
-    split_by: str | None = None,
-    low: int = 0,
-    high: int = 0,
+    split_by: str,
+    low: int,
+    high: int,
     slices: int = 32,
 ) -> DataFrame:
-    """A whole table, split over a numeric column where one is named."""
-    reader = spark.read.format("jdbc").options(
-        dbtable=table, fetchsize=FETCH_ROWS, **connection(country)
-    )
-    if split_by:
-        reader = reader.options(
-            partitionColumn=split_by, lowerBound=low, upperBound=high, numPartitions=slices
-        )
-    return reader.load().withColumn(COUNTRY, F.lit(country))
+    """A whole table in slices of a numeric column between its smallest and largest value."""
+    if low > high:
+        raise ValueError(f"no slices of {split_by} between {low} and {high}")
+    reader = spark.read.format("jdbc").options(dbtable=table, fetchsize=FETCH_ROWS, **connection(country))
+    slicing = {"partitionColumn": split_by, "lowerBound": low, "upperBound": high, "numPartitions": slices}
+    return reader.options(**slicing).load().withColumn(COUNTRY, F.lit(country))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
@@ -27,6 +27,10 @@ from quipu.sources.erp import BASE_TABLES
 BOM = "\ufeff"
 CORRUPT = "_corrupt"
 
+#: A part of a file that is a folder, and the name of a file or of such a folder.
+PARTS = r"(/[^/]+\.csv(?:/PAIS=[^/]*)?)/[^/]+$"
+FILE_NAME = r"([^/]+)(?:/PAIS=[^/]*)?$"
+
 #: Columns that hold codes and stay text whatever they look like.
 CODE_PREFIXES = ("COD", "CODIGO", "NUMERO")
 CODE_NAMES = ("EAN", "RUC", "RFC", "NIT", "DNI")
@@ -35,22 +39,26 @@ CODE_NAMES = ("EAN", "RUC", "RFC", "NIT", "DNI")
 def landed_files(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
     """One row per landed file: country (its folder), name, path, size, time.
 
-    No content is read. Spark passes over files of zero bytes, which have not even a header.
+    A folder named ``*.csv`` is one file in several parts, by country below it where Spark wrote one so. No
+    content is read. Spark passes over files of zero bytes, which have not even a header.
     """
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true")
         .load(root)
+        .select(F.regexp_replace("path", PARTS, "$1").alias("path"), "length", "modificationTime")
     )
-    return describe_files(files, "path").select(
-        "PAIS", "archivo", "path", F.col("length").alias("bytes"), "modificationTime"
+    whole = files.groupBy("path").agg(
+        F.sum("length").alias("bytes"), F.max("modificationTime").alias("modificationTime")
     )
+    return describe_files(whole, "path").select("PAIS", "archivo", "path", "bytes", "modificationTime")
 
 
 def describe_files(df: DataFrame, path: str) -> DataFrame:
-    return df.withColumn("PAIS", country_of(F.col(path))).withColumn(
-        "archivo", F.regexp_extract(F.col(path), "([^/]+)$", 1)
+    below = F.nullif(F.regexp_extract(F.col(path), "/PAIS=([^/]+)$", 1), F.lit(""))
+    return df.withColumn("PAIS", F.coalesce(below, country_of(F.col(path)))).withColumn(
+        "archivo", F.regexp_extract(F.col(path), FILE_NAME, 1)
     )
 
 
@@ -218,7 +226,7 @@ def is_code(name: str) -> bool:
     return upper in CODE_NAMES or upper.startswith(CODE_PREFIXES)
 
 
-def typed(df: DataFrame, types: dict[str, str]) -> DataFrame:
+def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Cast text columns to declared types; codes stay text and what does not fit becomes null."""
     return df.select(
         *[

@@ -372,3 +372,32 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     current = stream.current_rows(everything)
     assert sorted(rows(current.select("PAIS", "COD_CLIENTE"))) == [("CHILE", "5"), ("PERU", "3")]
     assert set(current.columns) == {"COD_CLIENTE", "CUPO", "NOTA", "PAIS"}
+
+
+def test_jdbc_tables_are_read_in_slices(spark, monkeypatch):
+    monkeypatch.setenv("ERP_PERU_URL", "jdbc:x")
+    with pytest.raises(TypeError):
+        jdbc.read_table(spark, "PERU", "T")
+    with pytest.raises(ValueError):
+        jdbc.read_table(spark, "PERU", "T", "id", 5, 1)
+
+
+def test_an_export_is_one_landed_file_per_country(spark, tmp_path):
+    df = spark.createDataFrame([("CHILE", "a", 1), ("PERU", "b", 2)], "PAIS string, A string, N int")
+    load.export(df.repartition(2), str(tmp_path), "Mis Ventas", datetime(2024, 1, 5))
+    load.export(df.drop("PAIS").repartition(2), str(tmp_path / "ECUADOR"), "Mis Ventas", datetime(2024, 1, 5))
+    landed = {(r.PAIS, r.archivo) for r in landing.landed_files(spark, str(tmp_path)).collect()}
+    assert landed == {(c, "Mis_Ventas_20240105_000000.csv") for c in ("CHILE", "PERU", "ECUADOR")}
+    assert {r.tabla for r in landing.latest_snapshots(landing.landed_files(spark, str(tmp_path))).collect()} == {
+        "MIS_VENTAS_CHILE", "MIS_VENTAS_PERU", "MIS_VENTAS_ECUADOR"
+    }
+
+
+def test_records_are_counted_without_a_barcode_join(spark):
+    lines = spark.createDataFrame([("1", "x")], "cProductoVta string, N string")
+    codes = spark.createDataFrame([("1", "9", "EAN", "CHL")], "cProducto string, cProductoEquiv string, cEquivalencia string, cPais string")
+    read = lambda c, t: lines if t == extract.SALES_LINES else codes
+    out = extract.extract(read, date(2024, 1, 1), [extract.SALES_LINES], ["CHILE"])
+    records = out.records()
+    assert "cProductoEquiv" not in records._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.registros, r.columnas) for r in records.collect()] == [(1, 3)]
