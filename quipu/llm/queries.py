@@ -6,7 +6,7 @@ from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm.common import bounded_batches
@@ -109,20 +109,24 @@ SCHEMAS = {
 
 def derived_calls(chats: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results as the given conversations hold none: an assistant's turn is a call whose arguments
-    come from its text and which uses the call two turns before; the next user's turn is its result."""
+    are its whole text and which uses the call two turns before, a fifth of them by the text's length also that
+    four turns before and half of these also that six turns before; the next user's turn is its result."""
     key = F.concat(F.lit("call-"), F.col("turn").cast("string"))
     size, words = F.length("text"), F.split("text", " ")
-    search = F.to_json(F.struct(F.substring("text", 1, 40).alias("query"), (size % 97).alias("limit")))
-    count = F.to_json(F.struct(F.slice(words, 1, 4).alias("words"), size.alias("n")))
+    search = F.to_json(F.struct(F.col("text").alias("query"), (size % 97).alias("limit")))
+    count = F.to_json(F.struct(words.alias("words"), size.alias("n")))
+
+    def used(back: int, every: int) -> Column:
+        there = (F.col("turn") >= back) & F.coalesce(size % every == 0, F.lit(every == 1))
+        return F.when(there, F.concat(F.lit("call-"), (F.col("turn") - back).cast("string")))
+
     calls = chats.where("role = 'assistant'").select(
         "conv_id",
         "turn",
         key.alias("call_id"),
         F.when(size % 3 == 0, "search").when(size % 3 == 1, "count").otherwise("look").alias("name"),
         F.when(size % 2 == 0, search).otherwise(count).alias("arguments"),
-        F.when(F.col("turn") > 1, F.array(F.concat(F.lit("call-"), (F.col("turn") - 2).cast("string"))))
-        .otherwise(F.array().cast("array<string>"))
-        .alias("uses"),
+        F.array_compact(F.array(used(2, 1), used(4, 5), used(6, 10))).alias("uses"),
     )
     before = F.concat(F.lit("call-"), (F.col("turn") - 1).cast("string"))
     results = chats.where("role = 'user' and turn > 0").select(

@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from quipu.llm import contain, jaccard, language, secrets, tools
+from quipu.llm import contain, jaccard, language, queries, secrets, tools
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, source string, n_chars long, node string"
@@ -235,6 +235,22 @@ def test_levels_of_random_calls(spark, seed):
     assert {(r.conv_id, r.call_id): r.level for r in found} == brute_levels(plain)
 
 
+def test_derived_calls_hold_whole_texts_and_several_needs(spark, sf):
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    texts = {(r.conv_id, r.turn): r.text for r in turns.where("role = 'assistant'").collect()}
+    calls, results = queries.derived_calls(turns)
+    rows, uses = calls.collect(), defaultdict(list)
+    assert {(r.conv_id, r.turn) for r in rows} == set(texts)
+    for r in rows:
+        text, given = texts[r.conv_id, r.turn], json.loads(r.arguments)
+        assert given.get("query") == text or given.get("words") == text.split(" ")
+        uses[r.conv_id, r.call_id] = [(r.conv_id, x) for x in r.uses]
+    assert {1, 2} <= {len(x) for x in uses.values()}
+    found = tools.linked(calls, results, queries.SCHEMAS).where("name is not null").collect()
+    assert {(r.conv_id, r.call_id): r.level for r in found if r.level is not None} == brute_levels(uses)
+    assert all(json.loads(r.json)["call"]["arguments"] == json.loads(r.arguments) for r in found)
+
+
 def test_candidates_stand_where_a_pattern_finds_them(spark):
     random.seed(8)
 
