@@ -4,7 +4,8 @@ Each line is normalised (words in lower case A-Z, one blank between them) and ha
 in too many distinct documents of its host is boilerplate and is removed; a document of which too little
 remains is depleted and rejected, as is one that fails the base rules. Distinct documents are distinct
 texts: copies are left to deduplication and do not make a document's own lines boilerplate. The limit
-is a share of the host's distinct documents, and at least ``min_docs``.
+is a share of the host's distinct documents, and at least ``min_docs``. ``cleaned`` counts near copies once as well:
+among the texts that hold a line over the limit, the components of the Jaccard join are one document each.
 
 Null and empty texts have no words and fail the base rules. Rows without a host are one host. Repeated rows
 each get the same verdict. An empty table gives no rows. Other columns are ignored by ``verdicts``
@@ -22,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quipu.llm import jaccard
 from quipu.llm.common import small, staged
 from quipu.llm.words import Piece, lines, pieces, run_hashes, span_hashes, sums_of
 
@@ -112,8 +114,23 @@ def measured(docs: DataFrame) -> DataFrame:
     ).mapInArrow(run, schema)
 
 
-def verdicts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Counts and verdict of every document, with the numbers of the lines to remove."""
+def _apart(docs: DataFrame, texts: DataFrame, frequent: DataFrame, rules: Rules) -> DataFrame:
+    """The frequent lines that stay so where near copies, components of the Jaccard join, count once."""
+    held = texts.select("host", "text_key", F.explode(F.array_distinct("line")).alias("line"))
+    held = staged(held.join(frequent, ["host", "line"]), "held")
+    keys = held.select(F.col("text_key").alias("doc_id")).distinct()
+    whole = docs.select(F.xxhash64("text").alias("doc_id"), "text").join(small(keys), "doc_id", "left_semi")
+    classes = jaccard.join(whole).select(F.col("doc_id").alias("text_key"), "component_id").distinct()
+    one = held.join(staged(classes, "classes"), "text_key").select("host", "line", "host_docs", "component_id").distinct()
+    counted = one.groupBy("host", "line", "host_docs").agg(F.count(F.lit(1)).alias("docs"))
+    return counted.where((F.col("docs") > rules.min_docs) & (F.col("docs") > F.col("host_docs") * rules.max_share))
+
+
+def verdicts(docs: DataFrame, rules: Rules = Rules(), apart: bool = False) -> DataFrame:
+    """Counts and verdict of every document, with the numbers of the lines to remove.
+
+    With ``apart``, a line is counted once per group of near copies, else once per distinct text.
+    """
     rows = staged(measured(docs), "lines")
     texts = rows.dropDuplicates(["host", "text_key"])
     hosts = texts.groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
@@ -125,7 +142,10 @@ def verdicts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         .join(hosts, "host")
         .where(F.col("docs") > F.col("host_docs") * rules.max_share)
     )
-    frequent = staged(frequent.select("host", "line"), "frequent")
+    frequent = staged(frequent.select("host", "line", "host_docs"), "frequent")
+    if apart and not frequent.isEmpty():
+        frequent = staged(_apart(docs, texts, frequent, rules), "frequent")
+    frequent = frequent.select("host", "line")
     zipped = F.arrays_zip("line", "line_words", "line_no")
     own = rows.select("row", "host", F.explode(zipped).alias("x")).select("row", "host", "x.*")
     removed = (
@@ -152,7 +172,7 @@ def verdicts(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that pass, without their boilerplate lines; columns as before."""
-    found = verdicts(docs, rules).select(
+    found = verdicts(docs, rules, apart=True).select(
         F.col("doc_id").alias("__q_id"),
         F.col("text_key").alias("__q_key"),
         F.col("kept").alias("__q_kept"),

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from quipu.llm import extraction, order, packing, quality, sharding, tokens, words
+from quipu.llm import extraction, jaccard, order, packing, quality, sharding, tokens, words
 from quipu.llm.queries import byte_vocabulary
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -75,6 +75,19 @@ def test_boilerplate_goes_and_depleted_documents_too(spark):
     assert quality.verdicts(docs.limit(0)).count() == 0
 
 
+def test_near_copies_are_not_emptied_by_line_frequency(spark):
+    base = [" ".join(f"b{i}x{j}" for j in range(12)) for i in range(40)]
+    edited = lambda i: "\n".join([*base[: i % 40], base[i % 40].replace("x5", f"edit{i}"), *base[i % 40 + 1 :]])
+    own = lambda i: " ".join(f"w{i}x{j}" for j in range(60))
+    line = "All rights reserved here"
+    data = [(i, edited(i), "h", "e") for i in range(50)] + [(100 + i, f"{own(i)}\n{line}", "h", "e") for i in range(30)]
+    docs = spark.createDataFrame(data, DOCS)
+    out = quality.cleaned(docs)
+    want = [(i, edited(i)) for i in range(50)] + [(100 + i, own(i)) for i in range(30)]
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == want
+    assert sorted(r.doc_id for r in jaccard.deduplicated(out).collect()) == [0, *range(100, 130)]
+
+
 @pytest.mark.parametrize("rule", ["norm", "dot"])
 def test_plan_respects_every_capacity(rule):
     random.seed(3)
