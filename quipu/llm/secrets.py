@@ -1,6 +1,7 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-A candidate is a run of 12 or more key characters with a digit. The forest sees its length, the changes of
+A candidate is a run of 12 or more key characters with a digit, or the whole value of 6 or more characters of any
+kind that is assigned to a key word, in quotes or up to white space. The forest sees its length, the changes of
 character class along it, its shares of digits, capitals and hexadecimal digits, how much of it the corpus's
 own dictionary covers, the path (the source's bucket, signs of a path or address around it) and the words
 beside it. It is trained on labelled findings: ``labelled`` may bring them; without it, findings whose form
@@ -27,6 +28,13 @@ from quipu.llm.contain import once
 RUN = r"[A-Za-z0-9_+/-]"
 CANDIDATE = rf"(?<!{RUN})(?=[A-Za-z_+/-]*+[0-9]){RUN}{{12,}}+"
 KEYWORD = r"(?i)(passw(or)?d|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer)"
+BLANK = r"[\x20\x09-\x0D]"
+NAMED = KEYWORD.removeprefix("(?i)").replace("(", "(?:")
+#: What assigns (group 1) and the value, with its opening quote if it has one.
+ASSIGNED = (
+    rf"(?i)({NAMED}[A-Za-z0-9_.-]{{0,40}}[\"']?\]?{BLANK}*+(?:=>|:=|==?|:){BLANK}*+(?:(?:bearer|basic){BLANK}++)?|bearer{BLANK}++)"
+    r"(?:\"[^\"\n]{6,}+(?=\")|'[^'\n]{6,}+(?=')|[\"']?[^\x20\x09-\x0D\"']{6,}+)"
+)
 PROVIDER = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})$"
 PART = r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"
 MASK = "<secret>"
@@ -53,6 +61,42 @@ FEATURES = (
 
 def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, source, start, value, own, before, earlier, after): a row per candidate in a text."""
+    return runs_of_key_characters(docs).unionByName(assigned_values(docs))
+
+
+def assigned_values(docs: DataFrame) -> DataFrame:
+    """The values assigned to a key word, but for those that are a run of key characters anyway."""
+    held = docs.where(F.col("text").rlike(ASSIGNED)).select(
+        F.col("doc_id").cast("long"),
+        F.xxhash64("text").alias("text_key"),
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+        "text",
+    )
+    keep = ("doc_id", "text_key", "source")
+    full, lead = (F.regexp_extract_all("text", F.lit(ASSIGNED), F.lit(i)).alias(c) for i, c in enumerate(("full", "lead")))
+    found = once(held, F.struct(full, lead, F.split("text", ASSIGNED, -1).alias("gaps")), "x", *keep)
+    sizes = F.zip_with("x.gaps", "x.full", lambda gap, match: F.length(gap) + F.coalesce(F.length(match), F.lit(0)))
+    found = once(found, sizes, "sizes", *keep, "x")
+    each = found.select(*keep, "x.gaps", "x.lead", "sizes", F.posexplode("x.full").alias("nth", "own"))
+    gap = [F.element_at("gaps", F.col("nth") + i) for i in (1, 2)]
+    lead = F.element_at("lead", F.col("nth") + 1)
+    before = F.aggregate(F.slice("sizes", 1, F.col("nth")), F.lit(0), lambda n, x: n + x)
+    raw = F.substr("own", F.length(lead) + 1)
+    quoted = raw.rlike("^[\"']")
+    around = F.right(gap[0], F.lit(200))
+    return each.select(
+        *keep,
+        "own",
+        F.regexp_extract(around, rf"({BLANK}|^)([^\x20\x09-\x0D]+){BLANK}*$", 2).alias("before"),
+        F.lit("").alias("earlier"),
+        F.regexp_extract(F.left(gap[1], F.lit(200)), rf"^[^\x20\x09-\x0D]*{BLANK}+([^\x20\x09-\x0D]+)", 1).alias("after"),
+        F.regexp_replace(raw, "^[\"']", "").alias("value"),
+        (before + F.length(gap[0]) + F.length(lead) + quoted.cast("int")).cast("long").alias("start"),
+    ).where(~F.col("value").rlike(rf"^{CANDIDATE}$"))
+
+
+def runs_of_key_characters(docs: DataFrame) -> DataFrame:
+    """The runs of key characters with a digit."""
     held = docs.where(F.col("text").rlike(CANDIDATE)).select(
         F.col("doc_id").cast("long"),
         F.xxhash64("text").alias("text_key"),
@@ -105,7 +149,8 @@ def dictionary(docs: DataFrame, most: int) -> DataFrame:
     words = docs.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
     words = words.where(F.length("word").between(2, 24))
     counted = words.groupBy("word").agg(F.count(F.lit(1)).alias("times"))
-    return counted.orderBy(F.desc("times"), "word").limit(most).select("word")
+    # a word that stands once may be a secret itself
+    return counted.where("times > 1").orderBy(F.desc("times"), "word").limit(most).select("word")
 
 
 def featured(found: DataFrame, known: DataFrame) -> DataFrame:
@@ -161,9 +206,10 @@ def featured(found: DataFrame, known: DataFrame) -> DataFrame:
 def label_rule() -> Column:
     """1 or 0 where a finding's form settles it, else null."""
     named = (F.col("keyword_in") + F.col("keyword_before") > 0) & (F.col("assigned") > 0)
-    secret = F.col("value").rlike(PROVIDER) | (named & (F.col("digits") > 0.1) & (F.col("covered") < 0.7))
+    secret = F.col("value").rlike(PROVIDER) | (named & (F.col("covered") < 0.7))
     plain = F.col("value").rlike("^[0-9_+/-]+$") | (F.col("covered") >= 0.7)
-    return F.when(secret, 1.0).when(plain & ~named, 0.0)
+    words = F.col("value").rlike("^[a-z \\p{Punct}]+$") & (F.col("covered") >= 0.7)
+    return F.when(secret, 1.0).when((plain & ~named) | words, 0.0)
 
 
 def findings(
@@ -200,7 +246,9 @@ def findings(
 
 def redacted(docs: DataFrame) -> DataFrame:
     """All documents, with every confirmed secret replaced by a mask; columns as before."""
-    hits = findings(docs).where("secret").groupBy("text_key").agg(F.sort_array(F.collect_set("value"), asc=False).alias("__values"))
+    hits = findings(docs).where("secret").groupBy("text_key").agg(F.collect_set(F.struct(F.length("value"), "value")).alias("__values"))
+    # the longest first, so that no part of it is masked before
+    hits = hits.withColumn("__values", F.transform(F.sort_array("__values", asc=False), lambda x: x["value"]))
     hits = small(staged(hits.withColumnRenamed("text_key", "__key"), "secrets"))
     joined = docs.join(hits, F.xxhash64(docs["text"]) == F.col("__key"), "left")
     hit = F.col("__key").isNotNull()

@@ -177,6 +177,29 @@ def test_secrets(spark):
     assert secrets.findings(docs.limit(0)).count() == 0
 
 
+def test_assigned_values_of_any_characters(spark):
+    random.seed(9)
+    word = lambda: random.choice("the of and with house river stone table light".split())
+    some = lambda chars, n: "".join(random.choice(chars) for _ in range(n))
+    secret = [
+        ('password = "P@ssw0rd!2024"', "P@ssw0rd!2024"),
+        ("pwd: hunt3r!", "hunt3r!"),
+        ("app_password='qzxwvkjhgfpmbnty'", "qzxwvkjhgfpmbnty"),
+        ("{'token': 'Zk Qv#9 pX'}", "Zk Qv#9 pX"),
+        ("Authorization: Bearer zqXwVkJhGfPmBn", "zqXwVkJhGfPmBn"),
+    ]
+    data = []
+    for i in range(200):
+        shown = secret[i][0] if i < len(secret) else f'secret = "{some("abcdef0123456789", 40)}"' if i % 2 else some("0123456789", 16)
+        data.append((i, " ".join([*(word() for _ in range(9)), shown, *(word() for _ in range(9))]), "s", 0, "x"))
+    docs = spark.createDataFrame(data, DOCS)
+    found = secrets.findings(docs).collect()
+    assert all(data[r.doc_id][1][r.start : r.start + len(r.value)] == r.value for r in found)
+    assert {(i, v) for i, (_, v) in enumerate(secret)} <= {(r.doc_id, r.value) for r in found if r.secret}
+    after = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    assert not any(v in after[i] for i, (_, v) in enumerate(secret))
+
+
 SCHEMAS = {"f": {"type": "object", "required": ["a"], "properties": {"a": {"type": "integer", "minimum": 0}}, "additionalProperties": False}}
 
 
