@@ -6,7 +6,7 @@ character class along it, its shares of digits, capitals and hexadecimal digits,
 own dictionary covers, the path (the source's bucket, signs of a path or address around it) and the words
 beside it. It is trained on labelled findings: ``labelled`` may bring them; without it, findings whose form
 settles the matter (provider formats, assignments to a key word; bare numbers and plain words) are the labels,
-from at most ``sample`` findings with the smallest hashes. The dictionary is counted over all documents and
+from at most ``sample`` distinct findings, half of them of each label, with the smallest hashes. The dictionary is counted over all documents and
 keeps the ``dictionary`` most frequent words. Only DataFrame functions and Spark's own forest run here.
 
 Null and empty texts have no findings. Rows without an id or source are scanned as well; repeated rows repeat
@@ -56,6 +56,7 @@ FEATURES = (
     "quoted",
     "word_before",
     "word_after",
+    "provider",
 )
 
 
@@ -200,6 +201,7 @@ def featured(found: DataFrame, known: DataFrame) -> DataFrame:
         flag(F.col("own").rlike("[\"']")).alias("quoted"),
         F.coalesce("word_before", F.lit(0.0)).alias("word_before"),
         F.coalesce("word_after", F.lit(0.0)).alias("word_after"),
+        flag(value.rlike(PROVIDER)).alias("provider"),
     )
 
 
@@ -212,6 +214,14 @@ def label_rule() -> Column:
     return F.when(secret, 1.0).when((plain & ~named) | words, 0.0)
 
 
+def sampled(marked: DataFrame, most: int) -> DataFrame:
+    """Labels and features of distinct findings, at most half of ``most`` of each label, by their hashes."""
+    one = marked.groupBy(F.xxhash64("value", "own", "before", "after").alias("hash"))
+    one = staged(one.agg(F.min(F.struct("label", *FEATURES)).alias("x")), "distinct")
+    no, yes = (one.where(F.col("x.label") == label).orderBy("hash").limit(most // 2) for label in (0.0, 1.0))
+    return no.union(yes).select("x.*")
+
+
 def findings(
     docs: DataFrame,
     labelled: DataFrame | None = None,
@@ -230,8 +240,7 @@ def findings(
         marked = found.withColumn("label", label_rule()).where("label is not null")
     else:
         marked = found.join(labelled.select("doc_id", "start", F.col("label").cast("double")), ["doc_id", "start"])
-    order = [F.xxhash64("value", "own", "before", "after"), F.col("doc_id"), F.col("start")]
-    taken = staged(marked.orderBy(*order).limit(sample).select("label", *FEATURES), "labelled")
+    taken = staged(sampled(marked, sample), "labelled")
     out = ["doc_id", "text_key", "start", "value"]
     if taken.select("label").distinct().count() < 2:
         score = F.coalesce(label_rule(), F.lit(0.0))

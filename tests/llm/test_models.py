@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quipu.llm import contain, jaccard, language, queries, secrets, tools
 
@@ -200,6 +201,16 @@ def test_assigned_values_of_any_characters(spark):
     assert not any(v in after[i] for i, (_, v) in enumerate(secret))
 
 
+def test_sample_takes_distinct_findings_of_both_labels(spark):
+    rows = [(f"copied{i % 3}", 0.0) for i in range(300)] + [(f"plain{i}", 0.0) for i in range(50)] + [(f"key{i}", 1.0) for i in range(30)]
+    marked = spark.createDataFrame([(v, "o", "b", "a", y) for v, y in rows], "value string, own string, before string, after string, label double")
+    for name in secrets.FEATURES:
+        marked = marked.withColumn(name, F.length("value").cast("double"))
+    assert Counter(r.label for r in secrets.sampled(marked, 40).collect()) == {0.0: 20, 1.0: 20}
+    assert Counter(r.label for r in secrets.sampled(marked, 1000).collect()) == {0.0: 53, 1.0: 30}
+    assert "provider" in secrets.FEATURES
+
+
 SCHEMAS = {"f": {"type": "object", "required": ["a"], "properties": {"a": {"type": "integer", "minimum": 0}}, "additionalProperties": False}}
 
 
