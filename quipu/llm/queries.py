@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm.common import bounded_batches
-from quipu.llm import contain, extraction, jaccard, language, order, packing, quality, secrets, sharding, tools
+from quipu.llm import contain, extraction, jaccard, language, merkle, minmax, order, packing, quality, secrets, sharding, tools
 from quipu.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,6 +141,17 @@ def op10_tool_call_linking(spark, sf):
     return tools.linked(calls, results, SCHEMAS)
 
 
+@query
+def op11_midstate_tree(spark, sf):
+    docs = table(spark, sf, "documents")
+    return merkle.manifest(docs, merkle.one_more(docs))
+
+
+@query
+def op13_minmax_hashing(spark, sf):
+    return minmax.grouped(table(spark, sf, "documents"))
+
+
 # Words, 8-word windows and normalised lines of each document; a null text has none.
 ORACLES["op3_line_frequency"] = r"""
 WITH d AS (
