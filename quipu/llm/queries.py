@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.llm.common import bounded_batches
-from quipu.llm import contain, extraction, jaccard, language, merkle, minmax, order, packing, quality, secrets, sharding, tools
+from quipu.llm import contain, extraction, jaccard, language, merkle, minmax, negatives, order, packing, quality, secrets, sharding, tools
 from quipu.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,6 +147,12 @@ def op11_midstate_tree(spark, sf):
     return merkle.manifest(docs, merkle.one_more(docs))
 
 
+@query
+def op12_cover_tree(spark, sf):
+    rows = negatives.vectors(table(spark, sf, "embeddings"), negatives.rotated())
+    return negatives.mine(rows, negatives.every(100))
+
+
 @query
 def op13_minmax_hashing(spark, sf):
     return minmax.grouped(table(spark, sf, "documents"))
