@@ -10,11 +10,12 @@ similarity 0.85 shares none with a chance of 3e-7. Every pair that counts is con
 How it is kept in bounds:
 
 * Equal sets are one node from the start, however many copies there are.
-* Pairs within a bucket are not written out. Each round holds every node of a bucket against the bucket's hub, the
-  member that meets the most others over all its buckets (the original of a group of near copies), and
-  contracts what links to components. A bucket with one component is done. In the others the hub is done too, as
-  it was held against all; the next round takes another hub among the rest. After ``ROUNDS`` rounds the pairs of
-  different components that are still untested are few, and are tested all.
+* Pairs within a bucket are not written out. First every node is held against one hub, the heaviest member of all its
+  buckets, which meets the most others (the original of a group of near copies); what links is contracted
+  to components. A bucket with one component is done.
+* Members of the other buckets, in a group of near copies mostly those edited too much for their original, are alike
+  in what all of the group have. A pair across components must share a token among the rarest of both, early enough
+  in their order for the rest of both sets to suffice; only such pairs are tested, all of them.
 * Shingle sets are computed again for the nodes that share a bucket only.
 
 Null and empty texts, and texts of blanks alone, have no set and link with nothing. Texts with fewer words than a
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.llm.common import components, small, staged
@@ -36,7 +37,6 @@ from quipu.llm.jaccard import set_key, shingle_sets
 from quipu.llm.words import mix, seeds
 
 BANDS, ROWS = 32, 6
-ROUNDS = 3
 #: Tokens whose permutations are worked out at once.
 HELD = 65_536
 _ODD, _SHIFT = seeds(BANDS * ROWS // 2, 31), mix(seeds(BANDS * ROWS // 2, 47))
@@ -142,42 +142,48 @@ def _pair(a: str, b: str) -> list:
     return [F.least(a, b).alias("x"), F.greatest(a, b).alias("y")]
 
 
-def _close(a: str, b: str, percent: int):
-    """Sets whose sizes differ more cannot link."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+def _rarest(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(token, node, n, root, pos): the tokens of which two linking nodes must share one, with their places.
+
+    Tokens are ordered by the number of these nodes that have them. Those of one node alone come first and can be
+    shared by none, so they only count.
+    """
+    own = sets.join(nodes, "node").select("node", "n", "root", F.explode("tokens").alias("token"))
+    often = own.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    own = own.join(often, "token")
+    alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("node"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("times", "token"))
+    placed = own.select("token", "node", "n", "root", (alone + place - 1).alias("pos"))
+    return placed.where(F.col("pos") <= F.col("n") - F.ceil(F.col("n") * percent / 100.0 - 1e-9))
+
+
+def _across(left: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a token early enough for the rest to suffice."""
+    index = staged(_rarest(left.select("node", "n", "root").distinct(), sets, percent), "rarest")
+    a, b = (index.select("token", *[F.col(c).alias(f"{s}{c}") for c in ("node", "n", "root", "pos")]) for s in "ab")
+    n, m = F.col("an"), F.col("bn")
+    need = F.ceil((n + m) * percent / (100.0 + percent) - 1e-9)
+    near = (F.col("aroot") < F.col("broot")) & (F.least(n, m) * 100 >= F.greatest(n, m) * percent)
+    near = near & (F.col("apos") <= n - need) & (F.col("bpos") <= m - need)
+    return a.join(b, "token").where(near).select(*_pair("anode", "bnode")).distinct()
 
 
 def linked(index: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(node, root) of the nodes that link: ``index`` has (bucket, node, n, weight) of buckets of several nodes."""
-    left = index
-    found = tested = roots = None
-    for turn in range(ROUNDS + 1):
-        if turn < ROUNDS:
-            hubs = left.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("h"))
-            hubs = hubs.select("bucket", F.col("h.node").alias("hub"), F.col("h.n").alias("hub_n"))
-            near = left.join(hubs, "bucket").where(F.col("node") != F.col("hub")).where(_close("n", "hub_n", percent))
-            pairs = near.select(*_pair("node", "hub")).distinct()
-        else:
-            a, b = (left.select("bucket", *[F.col(c).alias(f"{s}{c}") for c in ("node", "n", "root")]) for s in "ab")
-            near = a.join(b, "bucket").where((F.col("aroot") < F.col("broot")) & _close("an", "bn", percent))
-            pairs = near.select(*_pair("anode", "bnode")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["x", "y"], "left_anti")
-        pairs = staged(pairs, "pairs")
-        more = staged(_links(pairs, sets, percent), "links")
-        tested = pairs if tested is None else tested.union(pairs)
-        found = more if found is None else found.union(more)
-        if roots is None or not more.isEmpty():
-            roots = components(found)
-        if turn == ROUNDS:
-            return roots
-        rest = left.drop("root").join(hubs, "bucket").where(F.col("node") != F.col("hub")).drop("hub", "hub_n")
-        rest = rest.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        mixed = rest.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        left = staged(rest.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
-        if left.isEmpty():
-            return roots
-    return roots
+    hubs = index.groupBy("bucket").agg(F.max(F.struct("weight", "node", "n")).alias("hub"))
+    meets = index.select("bucket", "node", "n").join(hubs, "bucket").where(F.col("node") != F.col("hub.node"))
+    one = meets.groupBy("node", "n").agg(F.max("hub").alias("hub")).select("node", "n", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"))
+    one = one.where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
+    pairs = staged(one.select(*_pair("node", "other")).distinct(), "pairs")
+    found = staged(_links(pairs, sets, percent), "links")
+    roots = components(found)
+    named = index.select("bucket", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = named.groupBy("bucket").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+    left = staged(named.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
+    if left.isEmpty():
+        return roots
+    more = staged(_links(staged(_across(left, sets, percent), "pairs"), sets, percent), "links")
+    return roots if more.isEmpty() else components(found.union(more))
 
 
 def grouped(docs: DataFrame, k: int = 5, percent: int = 85) -> DataFrame:
