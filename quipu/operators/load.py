@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -12,10 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.functions.text import col, quoted, scrub_control_chars
+from quipu.operators.account import Account, Counter, Refused
+from quipu.operators.infer import cell_states, inferred
 from quipu.operators.joins import COUNTRY
 from quipu.operators.runlog import LOAD_RECORD
 from quipu.sources.erp import date_column
-from quipu.sources.landing import FILE_NAME, landed_files, latest_snapshots, literal, read_csv, typed
+from quipu.sources.landing import FILE_NAME, fitting, landed_files, latest_snapshots, literal, read_marked
+from quipu.sources.listing import STORES, inventory, store_of
 
 BACKUP = "_OLD"
 
@@ -94,20 +97,41 @@ def append_by_name(spark: SparkSession, df: DataFrame, database: str, table: str
     matching_columns(df, spark.table(name).columns).write.insertInto(name)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this process wrote and no table names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def replace_with_backup(
-    spark: SparkSession, df: DataFrame, database: str, table: str, root: str | None = None
+    spark: SparkSession,
+    df: DataFrame,
+    database: str,
+    table: str,
+    root: str | None = None,
+    check: Callable[[], None] | None = None,
 ) -> bool:
     """Make ``df`` the new content of a table and keep the previous one as ``{table}_OLD``.
 
     Rows are first written in full to a folder of their own; only then are names swapped, which
     touches the catalog alone. A failed write leaves the table as it was, and so does an empty
-    ``df``. Tables live in folders below ``root``, by default the database's own. An older backup
-    goes last, when the new table is there. Returns whether the table was replaced.
+    ``df``, or a ``check`` that raises once all is written; the folders of both are deleted. Tables live in
+    folders below ``root``, by default the database's own. An older backup
+    goes last, when the new table is there; its folder stays for those who still read it until
+    ``retention.sweep``. Returns whether the table was replaced.
     """
     base = root or spark.catalog.getDatabase(database).locationUri
     path = f"{base.rstrip('/')}/{table.lower()}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    if spark.read.parquet(path).isEmpty():
+    try:
+        df.write.mode("errorifexists").parquet(path)
+        if check:
+            check()
+        empty = spark.read.parquet(path).isEmpty()
+    except Exception:
+        discard(spark, path)
+        raise
+    if empty:
+        discard(spark, path)
         return False
     name, backup = full_name(database, table), full_name(database, table + BACKUP)
     had_one = spark.catalog.tableExists(name)
@@ -130,6 +154,30 @@ def replace_with_backup(
     return True
 
 
+def load_counted(
+    spark: SparkSession,
+    path: str,
+    database: str,
+    table: str,
+    types: Mapping[str, str] | None = None,
+    infer: bool = False,
+    max_invalid: int = 0,
+) -> tuple[bool, Account]:
+    """Load one landed file, and account for all of its rows; too many cells that do not fit refuse it.
+
+    Columns get their declared types. With ``infer`` the others get the narrowest that all their cells fit, which
+    takes a scan of its own.
+    """
+    rows = read_marked(spark, literal(path))
+    types = dict(types or {})
+    if infer:
+        types = inferred(cell_states(fitting(rows))) | types
+    counter = Counter(rows, types)
+    checked = lambda: counter.account().check(max_invalid)
+    loaded = replace_with_backup(spark, counter.rows, database, table, check=checked)
+    return loaded, counter.account()
+
+
 def load_file(
     spark: SparkSession,
     path: str,
@@ -137,16 +185,25 @@ def load_file(
     table: str,
     database: str,
     types: Mapping[str, str] | None = None,
+    infer: bool = False,
+    max_invalid: int = 0,
 ) -> tuple:
-    """Load one landed file into its table and return its record; columns get their declared types."""
+    """Load one landed file into its table and return its record."""
     file = re.search(FILE_NAME, path)[1]
     try:
-        rows = typed(read_csv(spark, literal(path)), types or {})
-        loaded = replace_with_backup(spark, rows, database, table)
-        count = spark.table(full_name(database, table)).count() if loaded else 0
-        return file, country, table, count, count, loaded, None
+        loaded, rows = load_counted(spark, path, database, table, types, infer, max_invalid)
+        kept = rows.loaded if loaded else 0
+        return file, country, table, rows.read, kept, loaded, None, rows.long, rows.short, rows.invalid_cells
+    except Refused as problem:
+        rows = problem.account
+        return file, country, table, rows.read, 0, False, str(problem), rows.long, rows.short, rows.invalid_cells
     except Exception as problem:  # one bad file must not stop the others
-        return file, country, table, 0, 0, False, str(problem)
+        return file, country, table, 0, 0, False, str(problem), None, None, None
+
+
+def deliveries(spark: SparkSession, root: str) -> DataFrame:
+    """The landed files below ``root``, empty ones too where the store can be listed for them."""
+    return inventory(spark, root) if store_of(root) in STORES else landed_files(spark, root)
 
 
 def load_landing(
@@ -155,17 +212,23 @@ def load_landing(
     database: str,
     at_once: int = 4,
     declared: Mapping[str, Mapping[str, str]] | None = None,
+    infer: bool = False,
+    max_invalid: int = 0,
 ) -> DataFrame:
     """Load the newest snapshot of every table found below ``root``; one record per file.
 
     ``declared`` has the column types of known tables, by their name without the country; columns
-    of others stay text. There is one such file per table and country. Each load is a Spark job of its own, and
+    of others stay text, or get the types that ``infer`` finds. A file of zero bytes gets a record with an error, as
+    does one with more than ``max_invalid`` cells that do not fit. There is one such file per table and country. Each load is a Spark job of its own, and
     ``at_once`` of them run side by side, so that small files do not leave the cluster idle.
     """
-    newest = latest_snapshots(landed_files(spark, root)).orderBy("PAIS", "nombre")
+    newest = latest_snapshots(deliveries(spark, root)).orderBy("PAIS", "nombre")
     picked = newest.select("path", "PAIS", "tabla").collect()  # a name per table and country
+
+    def load(r) -> tuple:
+        types = (declared or {}).get(r.tabla.removesuffix(f"_{r.PAIS.upper()}"))
+        return load_file(spark, r.path, r.PAIS, r.tabla, database, types, infer, max_invalid)
+
     with ThreadPoolExecutor(at_once) as pool:
-        types = lambda r: (declared or {}).get(r.tabla.removesuffix(f"_{r.PAIS.upper()}"))
-        load = lambda r: load_file(spark, r.path, r.PAIS, r.tabla, database, types(r))
         records = list(pool.map(load, picked))
     return spark.createDataFrame(records, LOAD_RECORD)

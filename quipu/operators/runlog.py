@@ -20,6 +20,9 @@ LOAD_RECORD = T.StructType(
         T.StructField("filas_cargadas", T.LongType()),
         T.StructField("exito", T.BooleanType()),
         T.StructField("error", T.StringType()),
+        T.StructField("filas_largas", T.LongType()),
+        T.StructField("filas_cortas", T.LongType()),
+        T.StructField("celdas_invalidas", T.LongType()),
     ]
 )
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -27,6 +26,9 @@ from quipu.sources.erp import BASE_TABLES
 BOM = "\ufeff"
 CORRUPT = "_corrupt"
 
+#: Marks of rows with more cells than their header, and with fewer.
+LONG, SHORT = "_larga", "_corta"
+
 #: A part of a file that is a folder, and the name of a file or of such a folder.
 PARTS = r"(/[^/]+\.csv(?:/PAIS=[^/]*)?)/[^/]+$"
 FILE_NAME = r"([^/]+)(?:/PAIS=[^/]*)?$"
@@ -103,11 +105,6 @@ def literal(path: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
 
-def first_line(spark: SparkSession, path: str) -> str:
-    row = spark.read.text(path).first()
-    return (row[0] if row else "").removeprefix(BOM).rstrip("\r")
-
-
 def sniff_delimiter(line: str) -> str:
     return ";" if line.count(";") > line.count(",") else ","
 
@@ -120,19 +117,19 @@ def warehouse_names(header: list[str]) -> list[str]:
     return disambiguate(normalize_header(h) for h in header)
 
 
-def spanning_files(spark: SparkSession, paths: list[str]) -> dict[str, bool]:
-    """Each file, and whether a quoted cell in it spans lines: some line opens one and does not close it."""
-    lines = spark.read.text(paths).select("value", "_metadata.file_path")
+def layouts(spark: SparkSession, paths: list[str]) -> dict[str, tuple[str, bool]]:
+    """Each file with its first line, and whether a quoted cell in it spans lines: some line opens one and does not
+    close it. One scan over all files; every task sends one row per file, and files without a line are not there."""
+    lines = spark.read.option("recursiveFileLookup", "true").text(paths).select(
+        "value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("at")
+    )
     rest = F.regexp_replace("value", '(^|[,;])[ ]*"(?:[^"]|"")*"', "$1")
-    found = lines.groupBy("file_path").agg(F.max(rest.rlike('(^|[,;])[ ]*"')).alias("spans"))
-    return {unquote(r.file_path): r.spans for r in found.collect()}  # one row per file
-
-
-def files_of(spark: SparkSession, paths: list[str]) -> list[str]:
-    """The files the paths stand for, folders opened; only names are read."""
-    listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
-    hidden = F.col("path").rlike(r"/[_.][^/]*$")
-    return sorted(literal(r.path) for r in listed.where(~hidden).select("path").collect())
+    opens = F.col("value").contains('"') & rest.rlike('(^|[,;])[ ]*"')  # few lines have a quote to look for
+    found = lines.groupBy("file_path").agg(
+        F.min_by("value", F.struct("file_block_start", "at")).alias("first"), F.max(opens).alias("spans")
+    )
+    clean = lambda line: line.removeprefix(BOM).rstrip("\r")
+    return {unquote(r.file_path): (clean(r.first), r.spans) for r in found.collect()}  # one row per file
 
 
 def read_csv(
@@ -145,38 +142,35 @@ def read_csv(
     shorter ones are filled with nulls, and the words for "no value" become null.
 
     Files are read in splits. Only one with a cell that spans lines has to be parsed from its start,
-    by one task and as a stream; a scan for unpaired quotes finds those files.
+    by one task and as a stream; one scan gives all headers and finds those files.
     """
-    paths = files_of(spark, [paths] if isinstance(paths, str) else paths)
-    with ThreadPoolExecutor(8) as pool:
-        lines = list(pool.map(lambda path: first_line(spark, path), paths))
-    alike: dict[str, list[str]] = {}
-    for path, line in zip(paths, lines):
-        alike.setdefault(line, []).append(path)
+    return fitting(read_marked(spark, paths, normalise, tag))
+
+
+def read_marked(
+    spark: SparkSession, paths: str | list[str], normalise: bool = True, tag: str | None = None
+) -> DataFrame:
+    """As ``read_csv``, with over-long rows kept and both kinds of ragged rows marked (``LONG``, ``SHORT``)."""
+    paths = [paths] if isinstance(paths, str) else paths
+    alike: dict[tuple[str, bool], list[str]] = {}
+    for path, layout in sorted(layouts(spark, paths).items()):
+        alike.setdefault(layout, []).append(literal(path))
+    if not alike:
+        raise ValueError(f"no header in {paths}: no line at all")
     parts = []
-    for line, members in alike.items():
+    for (line, multi_line), members in alike.items():
         header = header_of(line)
         if not header:
             raise ValueError(f"no header in {members}")
         names = warehouse_names(header) if normalise else disambiguate(header)
-        for files, multi_line in _by_layout(spark, members):
-            options = csv_options(sniff_delimiter(line), multi_line)
-            raw = spark.read.schema(text_schema(names)).options(**options).csv(files)
-            if tag:
-                raw = raw.select("*", F.col("_metadata.file_path").alias(tag))
-            parts.append(tolerant(raw, names, sniff_delimiter(line), [tag] if tag else []))
+        options = csv_options(sniff_delimiter(line), multi_line)
+        raw = spark.read.schema(text_schema(names)).options(**options).csv(members)
+        if tag:
+            raw = raw.select("*", F.col("_metadata.file_path").alias(tag))
+        parts.append(marked(raw, names, sniff_delimiter(line), [tag] if tag else []))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def _by_layout(spark: SparkSession, paths: list[str]) -> list[tuple[list[str], bool]]:
-    """The paths to read in splits, and the files to parse whole."""
-    spans = spanning_files(spark, paths)
-    if not any(spans.values()):
-        return [(paths, False)]
-    groups = [([literal(f) for f, s in spans.items() if s is whole], whole) for whole in (True, False)]
-    return [g for g in groups if g[0]]
-
-
 def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
 
@@ -197,10 +191,10 @@ def csv_options(delimiter: str, multi_line: bool = False) -> dict[str, str]:
     }
 
 
-def tolerant(
+def marked(
     raw: DataFrame, names: list[str], delimiter: str, tags: Sequence[str] = ()
 ) -> DataFrame:
-    """Drop over-long rows, keep short ones, and turn words for "no value" into null.
+    """Marks over-long and short rows, and turns words for "no value" into null.
 
     Spark marks both kinds as corrupt and keeps their text. The delimiters outside quoted cells tell
     them apart; a quote counts only where a cell begins, inch marks within one do not. ``tags`` are
@@ -210,10 +204,15 @@ def tolerant(
     delimiters = F.length(bare) - F.length(F.replace(bare, F.lit(delimiter), F.lit("")))
     # The second test is always true. It makes every query read a cell besides the corrupt text,
     # which Spark refuses to read alone.
-    fits = (delimiters <= len(names) - 1) & (F.length(F.coalesce(col(names[0]), F.lit(""))) >= 0)
-    kept = raw.filter(F.col(CORRUPT).isNull() | fits)
+    there = F.length(F.coalesce(col(names[0]), F.lit(""))) >= 0
+    over, under = (F.coalesce(test, F.lit(False)) & there for test in (delimiters >= len(names), delimiters < len(names) - 1))
     cells = [blank_to_null(col(n)).alias(n) for n in names]
-    return kept.select(*cells, *[col(t) for t in tags])
+    return raw.select(*cells, over.alias(LONG), under.alias(SHORT), *[col(t) for t in tags])
+
+
+def fitting(rows: DataFrame) -> DataFrame:
+    """Marked rows without the over-long ones and without the marks."""
+    return rows.filter(~F.col(LONG)).drop(LONG, SHORT)
 
 
 def quoted_cell(delimiter: str) -> str:
