@@ -51,17 +51,23 @@ def row_text(df: DataFrame, columns: Iterable[str] | None = None, digits: int =
     """A row as one text; floats are rounded first so that noise in the last digits is no change.
 
     Each cell is led by its length, or is a mark for null, so no two rows have one text, whatever
-    separators and control characters their cells hold.
+    separators and control characters their cells hold. Instants are written at UTC, whatever the session's zone.
     """
     floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    instants = {f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)}
     parts = []
     for name in columns or sorted(df.columns):
         value = F.round(col(name), digits) if name in floats else col(name)
-        cell = value.cast("string")
+        cell = (_at_utc(value) if name in instants else value).cast("string")
         parts.append(F.coalesce(F.concat(F.length(cell).cast("string"), F.lit(":"), cell), F.lit(MISSING)))
     return F.concat_ws(SEPARATOR, *parts)
 
 
+def _at_utc(instant: Column) -> Column:
+    """An instant as the clock at UTC shows it; counted from the epoch, so no zone's summer time gets in between."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+
+
 def row_hash(df: DataFrame, columns: Iterable[str] | None = None) -> Column:
     return F.sha2(row_text(df, columns), 256)
 
@@ -74,9 +80,16 @@ def fingerprint(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     the row count tell apart tables that differ in a repeated row. Only SHA-256 and integer sums are
     involved, so other engines can verify the value.
     """
+    return fingerprints(df, [], columns)
+
+
+def fingerprints(df: DataFrame, by: Sequence[Column], columns: Iterable[str] | None = None) -> DataFrame:
+    """A fingerprint per group; a task sends one line per group, whatever its rows."""
+    names = [f"_g{i}" for i in range(len(by))]
     digest = row_hash(df, columns)
-    halves = df.select(_bits(digest, 1).alias("a"), _bits(digest, 16).alias("b"))
-    sums = halves.agg(
+    groups = [c.alias(n) for c, n in zip(by, names)]
+    halves = df.select(*groups, _bits(digest, 1).alias("a"), _bits(digest, 16).alias("b"))
+    sums = halves.groupBy(*names).agg(
         F.count(F.lit(1)).alias("total_registros"),
         F.coalesce(F.sum(F.col("a").cast("decimal(38,0)")), F.lit(0)).alias("a"),
         F.coalesce(F.sum(F.col("b").cast("decimal(38,0)")), F.lit(0)).alias("b"),
@@ -84,7 +97,7 @@ def fingerprint(df: DataFrame, columns: Iterable[str] | None = None) -> DataFram
     )
     parts = [F.col(c).cast("string") for c in ("total_registros", "a", "b", "x")]
     text = F.concat_ws(SEPARATOR, *parts)
-    return sums.select("total_registros", F.sha2(text, 256).alias("hash_sha256"))
+    return sums.select(*names, "total_registros", F.sha2(text, 256).alias("hash_sha256"))
 
 
 def _bits(digest: Column, start: int) -> Column:
