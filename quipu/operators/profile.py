@@ -3,23 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from dataclasses import dataclass
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quipu.functions.country import COUNTRIES
 from quipu.functions.text import col
+from quipu.operators.quartiles import order_statistics
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
-#: Rank accuracy of the percentile sketch: 1/20,000 of the rows.
-SKETCH_ACCURACY = 20_000
-
-#: The most rows a quartile's bracket may hold before its values are tallied.
+#: The most values that are counted whole instead of by their next bits.
 TALLY_ROWS = 1_000_000
 
 
@@ -95,50 +92,21 @@ def _doubles(df: DataFrame, names: list[str]) -> DataFrame:
     )
 
 
-@dataclass
-class _Bracket:
-    """Two values of a column between which one quartile lies."""
-
-    column: str
-    quartile: str
-    rank: int
-    fraction: float
-    low: float
-    high: float
-    floor: float
-    ceiling: float
-    margin: float
-    below: int = 0
-    upto: int = 0
-    settled: bool = False
-
-    @property
-    def last_rank(self) -> int:
-        return self.rank + (1 if self.fraction else 0)
-
-    def holds(self) -> bool:
-        return self.below <= self.rank and self.last_rank < self.upto
-
-
 def describe_numeric(
     df: DataFrame,
     columns: list[str] | None = None,
-    accuracy: int = SKETCH_ACCURACY,
+    accuracy: int | None = None,
     tally_rows: int = TALLY_ROWS,
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles and maximum per numeric column.
 
-    Quartiles are interpolated between the two neighbouring values. No column is sorted or
-    gathered as a whole: a mergeable sketch brackets each quartile between two nearby values, and
-    a scan that counts the rows below and inside a bracket either proves it right or widens it.
-    Brackets with more than ``tally_rows`` rows are narrowed the same way. The values left inside
-    are tallied, and the exact order statistic is read off the tally.
+    Quartiles are interpolated between the two neighbouring values, which radix selection finds for all columns at
+    once: one scan for the other figures and at most four more, however the values are spread. Where at most ``tally_rows``
+    values share the bits found so far, their distinct values are counted at once. ``accuracy`` was that of a sketch and has
+    no effect any more.
     """
     names = columns or numeric_columns(df)
     values = _doubles(df, names)
-    spark = df.sparkSession
-    margin = 2 / accuracy
-    shares = [s for q in QUARTILES.values() for s in _around(q, margin)]
     aggregates = []
     for i in range(len(names)):
         c = F.col(f"c{i}")
@@ -148,119 +116,23 @@ def describe_numeric(
             F.stddev_samp(c).alias(f"std{i}"),
             F.min(c).alias(f"min{i}"),
             F.max(c).alias(f"max{i}"),
-            F.percentile_approx(c, shares, accuracy).alias(f"sketch{i}"),
         ]
     first = values.agg(*aggregates).first()  # one row, a few numbers per column
+    places = {f"c{i}": [(first[f"n{i}"] - 1) * q for q in QUARTILES.values()] for i in range(len(names)) if first[f"n{i}"]}
+    ranks = {c: [r for p in own for r in (int(p), int(p) + (p > int(p)))] for c, own in places.items()}
+    found = order_statistics(values, ranks, tally_rows) if ranks else {}
 
-    brackets = []
-    for i in range(len(names)):
-        rows = first[f"n{i}"]
-        for k, (label, q) in enumerate(QUARTILES.items()):
-            if rows:
-                whole = int((rows - 1) * q)
-                low, high = first[f"sketch{i}"][2 * k : 2 * k + 2]
-                brackets.append(
-                    _Bracket(
-                        f"c{i}",
-                        label,
-                        whole,
-                        (rows - 1) * q - whole,
-                        low,
-                        high,
-                        first[f"min{i}"],
-                        first[f"max{i}"],
-                        margin,
-                    )
-                )
-    _settle(values, brackets, accuracy, tally_rows)
-    quartiles = _read_off(values, brackets)
+    def quartiles(column: str) -> list[float | None]:
+        out = []
+        for p in places.get(column, []):
+            low, high = found[column, int(p)], found[column, int(p) + (p > int(p))]
+            out.append(low + (high - low) * (p - int(p)) if high != low else low)
+        return out or [None] * len(QUARTILES)
 
     rows = [
-        (
-            name,
-            first[f"n{i}"],
-            first[f"mean{i}"],
-            first[f"std{i}"],
-            first[f"min{i}"],
-            *[quartiles.get((f"c{i}", label)) for label in QUARTILES],
-            first[f"max{i}"],
-        )
-        for i, name in enumerate(names)
+        (n, first[f"n{i}"], first[f"mean{i}"], first[f"std{i}"], first[f"min{i}"], *quartiles(f"c{i}"), first[f"max{i}"])
+        for i, n in enumerate(names)
     ]
     schema = "columna string, filas long, mean double, std double, min double, "
     schema += "p25 double, p50 double, p75 double, max double"
-    return spark.createDataFrame(rows, schema)
-
-
-def _around(share: float, margin: float) -> list[float]:
-    return [max(0.0, share - margin), min(1.0, share + margin)]
-
-
-def _settle(values: DataFrame, brackets: list[_Bracket], accuracy: int, tally_rows: int) -> None:
-    """Count around every bracket until each holds its rank within few enough rows.
-
-    ``floor`` and ``ceiling`` always hold the rank. A bracket that does not returns to them and is
-    drawn more generously, at last as wide as they are.
-    """
-    while open_ := [b for b in brackets if not b.settled]:
-        counts = values.agg(
-            *[F.count_if(F.col(b.column) < b.low).alias(f"b{j}") for j, b in enumerate(open_)],
-            *[F.count_if(F.col(b.column) <= b.high).alias(f"u{j}") for j, b in enumerate(open_)],
-        ).first()
-        wide = []
-        for j, b in enumerate(open_):
-            b.below, b.upto = counts[f"b{j}"], counts[f"u{j}"]
-            if not b.holds():
-                b.low, b.high, b.margin = b.floor, b.ceiling, b.margin * 4
-            elif b.upto - b.below > tally_rows and b.low < b.high:
-                wide.append(b)
-            else:
-                b.settled = True
-        if wide:
-            _narrow(values, wide, accuracy)
-
-
-def _narrow(values: DataFrame, wide: list[_Bracket], accuracy: int) -> None:
-    sketches = []
-    for j, b in enumerate(wide):
-        inside = F.when(F.col(b.column).between(b.low, b.high), F.col(b.column))
-        share = (b.rank - b.below) / (b.upto - b.below)
-        sketches.append(
-            F.percentile_approx(inside, _around(share, b.margin), accuracy).alias(f"s{j}")
-        )
-    found = values.agg(*sketches).first()
-    for j, b in enumerate(wide):
-        b.floor, b.ceiling = b.low, b.high
-        b.low, b.high = found[f"s{j}"]
-        if (b.low, b.high) == (b.floor, b.ceiling):
-            b.settled = True  # few distinct values, so the tally is short
-
-
-def _read_off(values: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, str], float]:
-    """The interpolated value at each bracket's rank, by column and quartile."""
-    out = {(b.column, b.quartile): b.low for b in brackets if b.low == b.high}
-    brackets = [b for b in brackets if b.low < b.high]
-    if not brackets:
-        return out
-    tests = [F.col(b.column).between(b.low, b.high) for b in brackets]
-    tagged = [
-        F.when(test, F.struct(F.lit(j).alias("j"), F.col(b.column).alias("v")))
-        for j, (b, test) in enumerate(zip(brackets, tests))
-    ]
-    inside = values.filter(reduce(or_, tests)).select(
-        F.explode(F.array_compact(F.array(*tagged))).alias("t")
-    )
-    tally = inside.groupBy("t.j", "t.v").agg(F.count(F.lit(1)).alias("n"))
-    below = F.array(*[F.lit(b.below) for b in brackets])[F.col("j")]
-    rank = F.array(*[F.lit(b.rank) for b in brackets])[F.col("j")]
-    upto = below + F.sum("n").over(Window.partitionBy("j").orderBy("v"))
-    ranked = tally.select("j", "v", upto.alias("upto"), rank.alias("rank"))
-    pairs = ranked.groupBy("j").agg(
-        F.min(F.when(F.col("upto") > F.col("rank"), F.col("v"))).alias("low"),
-        F.min(F.when(F.col("upto") > F.col("rank") + 1, F.col("v"))).alias("high"),
-    )
-    for row in pairs.collect():  # one row per quartile and column
-        b = brackets[row["j"]]
-        step = (row["high"] - row["low"]) * b.fraction if b.fraction else 0.0
-        out[(b.column, b.quartile)] = row["low"] + step
-    return out
+    return df.sparkSession.createDataFrame(rows, schema)
