@@ -55,17 +55,33 @@ def _with_columns(df: DataFrame, names: list[str]) -> DataFrame:
 # --- sales ---------------------------------------------------------------------------------------
 
 
-def sales(
-    erp: Erp, start: date, end: date, ordered: bool = True, fanout: bool = False
-) -> DataFrame:
-    """Sales lines with barcode, from the local sales documents.
-
-    No order is promised, so ``ordered`` is accepted and ignored.
-    """
+#: Columns of the local sales documents and their lines that the sales report shows.
+_SALES = {
+    "fEmision": "FechaDocumento",
+    "cCliente": "CodigoCliente",
+    "dCliente": "NombreCliente",
+    "cProductoVta": "CodigoProducto",
+    "dProductoVta": "DescripcionProducto",
+    "EAN": "EAN",
+    "nCantidad": "Cantidad",
+    "nPrecioOrig": "PrecioUnitario",
+    "nTotalOrig": "PrecioExtendido",
+    "nSubTotal": "Subtotal",
+    "nImpuesto": "Impuesto",
+    "nTotal": "TotalDocumento",
+}
+
+
+def _local_lines(erp: Erp, start: date, end: date) -> DataFrame:
+    """The local sales documents of a period with their lines."""
     headers = in_period(erp["movGC_VtDocumentoVtaCab"], "fEmision", start, end)
     rows = documents(headers, erp["movGC_VtDocumentoVtaDet"], MOV_KEYS)
+    return rows.select(*_by_country(rows, [*MOV_KEYS, *[c for c in _SALES if c != "EAN"]]))
+
+
+def _sales_of(lines: DataFrame, erp: Erp, fanout: bool) -> DataFrame:
     rows = with_ean(
-        rows,
+        lines,
         erp["maeGC_ProductoEquiv"],
         "cProductoVta",
         fanout=fanout,
@@ -73,24 +89,20 @@ def sales(
         strip=F.rtrim,
     )
     number = F.concat("cSerie", F.lit("-"), F.col("nCorrelativo").cast("string"))
-    columns = [
-        number.alias("NumeroDocumento"),
-        _as("fEmision", "FechaDocumento"),
-        _as("cCliente", "CodigoCliente"),
-        _as("dCliente", "NombreCliente"),
-        _as("cProductoVta", "CodigoProducto"),
-        _as("dProductoVta", "DescripcionProducto"),
-        _as("EAN", "EAN"),
-        _as("nCantidad", "Cantidad"),
-        _as("nPrecioOrig", "PrecioUnitario"),
-        _as("nTotalOrig", "PrecioExtendido"),
-        _as("nSubTotal", "Subtotal"),
-        _as("nImpuesto", "Impuesto"),
-        _as("nTotal", "TotalDocumento"),
-    ]
+    columns = [number.alias("NumeroDocumento"), *[_as(c, name) for c, name in _SALES.items()]]
     return rows.select(*_by_country(rows, columns))
 
 
+def sales(
+    erp: Erp, start: date, end: date, ordered: bool = True, fanout: bool = False
+) -> DataFrame:
+    """Sales lines with barcode, from the local sales documents.
+
+    No order is promised, so ``ordered`` is accepted and ignored.
+    """
+    return _sales_of(_local_lines(erp, start, end), erp, fanout)
+
+
 def sales_posted(erp: Erp, start: date, end: date, ordered: bool = True) -> DataFrame:
     """Sales lines from the posted sales documents, without barcode."""
     headers = in_period(erp["SOP30200"], "DOCDATE", start, end)
@@ -119,30 +131,29 @@ def sales_report(
 ) -> DataFrame:
     """Sales from the local documents, or from the posted ones where those are absent or empty.
 
-    With several countries the choice falls country by country. Which ones have local sales in the
-    period is found out first, from the keys alone; the posted tables are then read for the others
-    only.
+    With several countries the choice falls country by country. One plan holds both: which countries have local
+    sales is a scalar subquery of it, and a filter on the posted tables that prunes their folders when the plan
+    runs. The subquery asks for the same columns as the report, so both read one shuffle of headers and lines.
     """
-    posted = ("SOP30200" in erp) and ("SOP30300" in erp)
     if "movGC_VtDocumentoVtaCab" not in erp or "movGC_VtDocumentoVtaDet" not in erp:
         return sales_posted(erp, start, end, ordered)
-    local = sales(erp, start, end, fanout=fanout)
-    if not posted:
+    lines = _local_lines(erp, start, end)
+    local = _sales_of(lines, erp, fanout)
+    if "SOP30200" not in erp or "SOP30300" not in erp:
         return local
-    if COUNTRY not in local.columns or COUNTRY not in erp["SOP30200"].columns:
-        return sales_posted(erp, start, end, ordered) if local.isEmpty() else local
-    headers = in_period(erp["movGC_VtDocumentoVtaCab"], "fEmision", start, end)
-    lines = erp["movGC_VtDocumentoVtaDet"].select(COUNTRY, *MOV_KEYS)
-    covered = documents(headers.select(COUNTRY, *MOV_KEYS), lines, MOV_KEYS)
-    found = covered.select(COUNTRY).distinct().collect()  # one row per country
-    others = Erp({n: _without(df, [r[0] for r in found]) for n, df in erp.items()})
+    by_country = COUNTRY in local.columns and COUNTRY in erp["SOP30200"].columns
+    held = F.col(COUNTRY) if by_country else F.lit("")
+    whole = F.xxhash64(*lines.columns) != F.lit(0)  # of no use but that all columns are asked for
+    covered = lines.agg(F.collect_set(F.when(whole, held)).alias("covered")).scalar()
+    others = Erp({n: _without(df, covered, by_country) for n, df in erp.items()})
     return local.unionByName(sales_posted(others, start, end, ordered))
 
 
-def _without(df: DataFrame, countries: list[str]) -> DataFrame:
-    if COUNTRY not in df.columns or not countries:
+def _without(df: DataFrame, covered: Column, by_country: bool) -> DataFrame:
+    """The rows of countries that are not covered; of a single company all or none."""
+    if by_country and COUNTRY not in df.columns:
         return df
-    return df.filter(~F.col(COUNTRY).isin(countries))
+    return df.filter(~F.array_contains(covered, F.col(COUNTRY) if by_country else F.lit("")))
 
 
 def sales_detail(erp: Erp, start: date, end: date, ordered: bool = True) -> DataFrame:

@@ -6,13 +6,17 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from quipu.demo.queries import QUERIES
+from quipu.demo.fixtures import erp
+from quipu.demo.queries import END, MOV, QUERIES, SOP, START
 from quipu.operators.ean import with_ean
 from quipu.operators.order import arrange
 from quipu.plans import reports
 from quipu.sources.erp import Erp, rolling_scan
 
 
+PERIOD = (START, END)
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().toString()
 
@@ -194,3 +198,50 @@ def test_rows_of_one_day_sort_in_several_tasks(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) > 1 and max(sizes) < 20_000
+
+
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+        return out, list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_sales_report_asks_nothing_before_it_is_read(spark, sf):
+    tables = erp(spark, sf, *MOV, *SOP)  # reading their schemas takes jobs
+    for some in (tables, Erp({n: df.drop("PAIS") for n, df in tables.items()})):
+        df, jobs = jobs_of(spark, f"sales-plan-{len(some['SOP30200'].columns)}", lambda some=some: reports.sales_report(some, *PERIOD))
+        assert jobs == []
+        rows, jobs = jobs_of(spark, f"sales-run-{len(some['SOP30200'].columns)}", df.collect)
+        assert len(rows) > 0 and jobs
+        spark.sparkContext.setJobGroup("none", "none")
+
+
+def test_sales_report_shuffles_headers_and_lines_once(spark, sf):
+    """The subquery that finds the countries with local sales reads the report's own shuffles."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = QUERIES["sales_report"](spark, sf)
+        df.collect()
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    final = text.split("== Initial Plan ==")[0]
+    assert "Subquery" in final and final.count("ReusedExchange") >= 2
+    written = re.findall(r"Exchange hashpartitioning\(([^)]*)\), ENSURE_REQUIREMENTS", text)
+    assert any("cSerie" in w for w in written)
+
+
+def test_posted_tables_are_pruned_when_the_report_runs(spark, tmp_path, sf):
+    names = (*MOV, *SOP)
+    tables = erp(spark, sf, *names)
+    for n in names:
+        df = tables[n].where("PAIS <> 'PERU'") if n.startswith("movGC") else tables[n]
+        df.write.partitionBy("PAIS").parquet(f"{tmp_path}/{n}")
+    stored = Erp.from_parquet(spark, str(tmp_path), names)
+    df = reports.sales_report(stored, *PERIOD)
+    assert {r.PAIS for r in df.select("PAIS").distinct().collect()} == {"CHILE", "COLOMBIA", "ECUADOR", "PERU"}
+    scan = next(x for x in plan(df).splitlines() if "FileScan" in x and "SOPNUMBE" in x and "DOCDATE" in x)
+    assert re.search(r"PartitionFilters: \[[^]]*Subquery", scan) or "array_contains" in scan
