@@ -258,6 +258,116 @@ records AS (
   GROUP BY tried.pais, tried.tabla, n)"""
 
 
+# Orders as text: the columns of text_orders, in order.
+_TEXT_ORDERS = {
+    "entero": "cast(o_orderkey AS varchar)",
+    "monto": "cast(cast(o_totalprice AS decimal(12,2)) AS varchar)",
+    "real": "CASE WHEN o_orderkey % 10 = 0 THEN '1.5e3' ELSE cast(cast(o_totalprice AS decimal(12,2)) AS varchar) END",
+    "fecha": "CASE WHEN o_orderkey % 3 > 0 THEN cast(cast(o_orderdate AS date) AS varchar) END",
+    "hora": "cast(cast(o_orderdate AS date) AS varchar) || CASE WHEN o_orderkey % 5 = 0 THEN ' 10:30:00' ELSE '' END",
+    "logico": "CASE WHEN o_orderstatus = 'F' THEN 'true' ELSE 'FALSE' END",
+    "mezcla": "CASE WHEN o_orderkey % 100 = 0 THEN 'n/d' ELSE cast(cast(o_totalprice AS decimal(12,2)) AS varchar) END",
+    "ceros": "lpad(cast(o_custkey AS varchar), 12, '0')",
+    "COD_CLIENTE": "cast(o_custkey AS varchar)",
+    "vacia": "cast(NULL AS varchar)",
+    "texto": "o_orderpriority",
+}
+
+
+def _inferred() -> str:
+    """The narrowest type of each column by tests of whole columns, one after the other."""
+    tests = {
+        "boolean": "lower({c}) IN ('true', 'false')",
+        "bigint": "regexp_full_match({c}, '[+-]?(0|[1-9][0-9]{{0,17}})')",
+        "decimal": "regexp_full_match({c}, '[+-]?(0|[1-9][0-9]*)(\\.[0-9]+)?')",
+        "double": "try_cast({c} AS double) IS NOT NULL AND regexp_full_match({c}, '[+-]?(0([.eE].*)?|[1-9].*)')",
+        "date": "length({c}) = 10 AND try_cast({c} AS date) IS NOT NULL",
+        "timestamp_ntz": "length({c}) >= 10 AND try_cast({c} AS timestamp) IS NOT NULL",
+    }
+    width = (
+        "'decimal(' || cast(max(length(split_part(ltrim({c}, '+-'), '.', 1))) + max(length(split_part({c}, '.', 2))) AS varchar) "
+        "|| ',' || cast(max(length(split_part({c}, '.', 2))) AS varchar) || ')'"
+    )
+    rows = []
+    for i, c in enumerate(_TEXT_ORDERS):
+        cases = "".join(
+            f" WHEN bool_and(CASE WHEN {c} IS NOT NULL THEN {t.format(c=c)} END) THEN " + (width.format(c=c) if kind == "decimal" else f"'{kind}'")
+            for kind, t in tests.items()
+        )
+        kind = "'string'" if c.startswith("COD") else f"CASE WHEN count({c}) = 0 THEN 'string'{cases} ELSE 'string' END"
+        place = 0 if c == "logico" else i - (i > list(_TEXT_ORDERS).index("logico"))
+        rows.append(
+            f"SELECT {place} AS posicion, '{c}' AS columna, {kind} AS tipo, count({c}) AS celdas, "
+            f"cast(coalesce(max(length({c})), 0) AS int) AS longitud FROM t"
+        )
+    return f"WITH t AS (SELECT {_select(_TEXT_ORDERS)} FROM orders) " + " UNION ALL ".join(rows)
+
+
+# Customers of the faulty file by what becomes of their line.
+_FAULTY = """WITH lines AS (
+  SELECT c_mktsegment = 'FURNITURE' AS over_long, c_mktsegment = 'BUILDING' AS short,
+    c_mktsegment = 'MACHINERY' AND c_custkey % 2 = 0 AS faulty FROM customer),
+sums AS (
+  SELECT count(*) AS n, count(*) FILTER (over_long) AS over_long, count(*) FILTER (short) AS short,
+    count(*) FILTER (faulty) AS faulty FROM lines)"""
+
+# Two extractions of the posted documents, and their digests by country and month.
+_CONTROL = ctes("SOP30200") + f""", new AS (
+  SELECT PAIS, SOPNUMBE, SOPTYPE, DOCDATE, rtrim(CUSTNMBR) AS CUSTNMBR, BACHNUMB, SUBTOTAL, DOCAMNT,
+    cast(CASE WHEN PAIS = 'COLOMBIA' AND strftime(DOCDATE, '%Y-%m') = '1996-03' THEN TAXAMNT + 1 ELSE TAXAMNT END
+      AS decimal(19,5)) AS TAXAMNT
+  FROM SOP30200 WHERE DOCDATE <= DATE '2001-06-30'
+    AND NOT (PAIS = 'PERU' AND strftime(DOCDATE, '%Y-%m') = '1997-05' AND SOPTYPE = 4)),
+old AS (SELECT * FROM SOP30200 WHERE DOCDATE <= DATE '2001-05-31'),
+$DIGESTS,
+moved AS (
+  SELECT PAIS, count(*) FILTER (PAIS = 'COLOMBIA' AND strftime(DOCDATE, '%Y-%m') = '1996-03') AS changed,
+    count(*) FILTER (PAIS = 'PERU' AND strftime(DOCDATE, '%Y-%m') = '1997-05' AND SOPTYPE = 4) AS gone, count(*) AS n
+  FROM old GROUP BY PAIS),
+came AS (SELECT PAIS, count(*) AS n FROM new WHERE DOCDATE > DATE '2001-05-31' GROUP BY PAIS)"""
+
+
+def _digests(rows: str) -> str:
+    cells = ", ".join(_cell(c) for c in sorted(("BACHNUMB", "CUSTNMBR", "DOCAMNT", "DOCDATE", "PAIS", "SOPNUMBE", "SOPTYPE", "SUBTOTAL", "TAXAMNT")))
+    return f"""digests AS (
+  SELECT PAIS, strftime(DOCDATE, '%Y-%m') AS mes, sha256(concat_ws(chr(31), {cells})) AS h FROM {rows}),
+halves AS (
+  SELECT PAIS, mes, cast('0x' || substr(h, 1, 15) AS bigint) AS a, cast('0x' || substr(h, 16, 15) AS bigint) AS b FROM digests),
+leaves AS (
+  SELECT PAIS, mes, count(*) AS registros, sha256(concat_ws(chr(31), cast(count(*) AS varchar), cast(sum(a) AS varchar),
+    cast(sum(b) AS varchar), cast(bit_xor(a) AS varchar))) AS h FROM halves GROUP BY PAIS, mes),
+nodes AS (
+  SELECT PAIS, sum(registros) AS registros, count(*) AS meses,
+    sha256(string_agg(mes || ':' || h, chr(31) ORDER BY mes || ':' || h)) AS h FROM leaves GROUP BY PAIS)"""
+
+
+_FACETS = ("l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_suppkey", "l_partkey", "l_orderkey")
+
+
+def _facets() -> str:
+    parts = []
+    for c in _FACETS:
+        value = f"cast({'cast(l_quantity AS int)' if c == 'l_quantity' else c} AS varchar)"
+        parts.append(
+            f"(SELECT '{c}' AS columna, {value} AS valor, count(*) AS frecuencia, "
+            f"cast(row_number() OVER (ORDER BY count(*) DESC, {value}) AS int) AS orden FROM lineitem "
+            f"WHERE {c} IS NOT NULL GROUP BY {value} QUALIFY orden <= 10)"
+        )
+    return " UNION ALL ".join(parts)
+
+
+_SLICED = """WITH source AS (
+  SELECT CASE WHEN l_linenumber % 3 = 0 THEN DATE '1998-09-02' ELSE cast(l_shipdate AS date) END AS dia,
+    l_orderkey AS a, l_linenumber AS b, l_partkey AS c FROM lineitem),
+ranked AS (
+  SELECT dia, a, b, c, row_number() OVER (ORDER BY dia, a, b, c) - 1 AS r, count(*) OVER () AS n FROM source),
+starts AS (SELECT DISTINCT dia, a, b, c FROM ranked WHERE r % ((n + 11) // 12) = 0),
+placed AS (
+  SELECT (SELECT count(*) FROM starts s WHERE (s.dia, s.a, s.b, s.c) <= (t.dia, t.a, t.b, t.c)) - 1 AS rebanada
+  FROM source t)
+SELECT cast(rebanada AS int) AS rebanada, count(*) AS filas FROM placed GROUP BY 1"""
+
+
 ORACLES: dict[str, str] = {
     "sales_ean": ctes(*MOV) + LOOKUP + SALES_SELECT,
     "sales_ean_fanout": ctes(*MOV) + FAN_LOOKUP + SALES_SELECT,
@@ -533,4 +643,63 @@ SELECT h.PAIS AS PAIS, h.SOPNUMBE AS SOPNUMBE, h.DOCDATE AS DOCDATE, rtrim(h.CUS
 SELECT PAIS, rtrim(ITEMNMBR) AS CODIGO, rtrim(ITEMDESC) AS DESCRIPCION, rtrim(ITMCLSCD) AS CLASE
 FROM IV00101 WHERE (PAIS, ITEMNMBR) IN
   (SELECT (PAIS, cProducto) FROM maeGC_ProductoEquiv WHERE cEquivalencia = 'EAN12')""",
+    "infer_types": _inferred(),
+    "load_typed": """
+SELECT o_orderkey AS ENTERO, cast(cast(o_totalprice AS decimal(12,2)) AS decimal(19,2)) AS MONTO,
+  CASE WHEN o_orderkey % 3 > 0 THEN cast(o_orderdate AS date) END AS FECHA,
+  cast(o_orderdate AS date) + CASE WHEN o_orderkey % 5 = 0 THEN INTERVAL '10:30:00' ELSE INTERVAL '0' SECOND END AS HORA,
+  o_orderstatus = 'F' AS LOGICO, lpad(cast(o_custkey AS varchar), 12, '0') AS CEROS,
+  cast(o_custkey AS varchar) AS COD_CLIENTE, cast(NULL AS varchar) AS VACIA, o_orderpriority AS TEXTO
+FROM orders""",
+    "load_account": _FAULTY
+    + """
+SELECT cast(k AS int) AS intento, n AS filas_leidas, CASE WHEN k = 2 THEN n - over_long ELSE 0 END AS filas_cargadas,
+  over_long AS filas_largas, short AS filas_cortas, faulty AS celdas_invalidas, k = 2 AS exito, k <> 2 AS con_error,
+  CASE WHEN k = 1 THEN 0 ELSE n - over_long END AS en_tabla
+FROM sums, (VALUES (1), (2), (3)) AS tries(k)""",
+    "landing_inventory": ctes("RM00101")
+    + """
+SELECT PAIS, 'Clientes_20240105_000000.csv' AS archivo, false AS vacio, count(*) AS filas_cargadas, false AS con_error
+FROM RM00101 GROUP BY PAIS
+UNION ALL SELECT DISTINCT PAIS, 'Nada_20240105_000000.csv', true, 0, true FROM RM00101""",
+    "sweep": """
+SELECT 'T' AS tabla, count(*) AS filas, 5::BIGINT AS antes, 3::BIGINT AS borradas, 2::BIGINT AS quedan FROM orders
+UNION ALL SELECT 'T_OLD', count(*), 5, 3, 2 FROM orders WHERE o_orderkey % 5 <= 3""",
+    "control_run": _CONTROL.replace("$DIGESTS", _digests("new"))
+    + """
+SELECT nodes.PAIS AS pais, 'SOP30200' AS tabla, 2 AS version,
+  CASE WHEN changed + gone > 0 THEN 'modificacion_detectada' ELSE 'actualizado_incremental' END AS estado,
+  cast(registros AS bigint) AS total_registros, h AS hash_sha256, cast(meses AS int) AS meses,
+  cast(changed + gone > 0 AS int) AS meses_comparados, moved.n - changed - gone AS iguales, changed AS modificadas,
+  coalesce(came.n, 0) AS agregadas, gone AS eliminadas
+FROM nodes JOIN moved USING (PAIS) LEFT JOIN came USING (PAIS)""",
+    "control_tree": ctes("SOP30200")
+    + ", plain AS (SELECT * REPLACE (rtrim(CUSTNMBR) AS CUSTNMBR) FROM SOP30200), "
+    + _digests("plain")
+    + """
+SELECT cast(sum(registros) AS bigint) AS registros,
+  sha256(string_agg(PAIS || ':' || h, chr(31) ORDER BY PAIS || ':' || h)) AS hash_sha256 FROM nodes""",
+    "rolling_refresh": ctes("SOP30200")
+    + f" SELECT * REPLACE (rtrim(CUSTNMBR) AS CUSTNMBR) FROM SOP30200 WHERE DOCDATE >= {AS_OF} - 120 AND DOCDATE <= {AS_OF}",
+    "slice_bounds": _SLICED,
+    "stream_current": ctes("RM00101")
+    + """ SELECT PAIS, rtrim(CUSTNMBR) AS CUSTNMBR, CUSTCLAS, cast(CRLMTAMT AS varchar) AS CRLMTAMT
+FROM RM00101 WHERE CUSTCLAS = 'BUILDING'""",
+    "facets": _facets(),
+    "cached_sql": """
+SELECT o_orderstatus, count(*) AS n, cast(sum(cast(o_totalprice AS decimal(19,5))) AS decimal(29,5)) AS total, true AS de_cache
+FROM orders WHERE o_orderdate >= DATE '1995-02-01' GROUP BY 1""",
+    "catalog_totals": "SELECT "
+    + f"{len(_ALL_TABLES)}::BIGINT AS tablas, cast("
+    + " + ".join(f"(SELECT count(*) FROM {t})" for t in _ALL_TABLES)
+    + " AS bigint) AS filas, true AS con_bytes",
+    "sales_sellin": ctes(*MOV) + LOOKUP + SALES_SELECT,
+    "sales_market": ctes(*MOV) + LOOKUP + SALES_SELECT,
+    "ready_rows": ctes("IV00101")
+    + """ SELECT 'Obtener Precio Lista' AS reporte, 0::BIGINT AS filas
+UNION ALL SELECT 'Listar Productos Detallado', count(*) FROM IV00101""",
+    "repeated_headers": """
+SELECT c_custkey AS COD_CLIENTE, c_name AS COD_CLIENTE_1, c_nationkey AS COD_CLIENTE_2, c_mktsegment AS RAZON_SOCIAL,
+  c_acctbal AS SALDO FROM customer""",
+    "session_info": "SELECT count(*) AS filas, 'spark_catalog' AS catalogo, true AS con_usuario FROM region",
 }

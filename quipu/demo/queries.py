@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from contextlib import contextmanager
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,13 +15,15 @@ from quipu.demo.fixtures import erp, table
 from quipu.functions import names, text
 from quipu.functions.country import COUNTRIES
 from quipu.operators import consolidate as stacked
-from quipu.operators import drift, ean, integrity, load, profile, runlog
+from quipu.operators import cache, control, drift, ean, infer, integrity, load, profile, retention, rolling, runlog
+from quipu.operators import facets as frequent
 from quipu.operators.joins import COUNTRY
 from quipu.plans import extra, registry, reports
 from quipu.session import scratch_path
-from quipu.sources import catalog, landing
+from quipu.sources import catalog, landing, listing, slices
 from quipu.sources.erp import Erp, full_scan, rolling_scan
 from quipu.sources.extract import Extraction, extract
+from quipu.streaming import current
 from quipu.streaming import landing as stream
 
 START, END = date(1995, 2, 1), date(2001, 6, 30)
@@ -509,10 +512,21 @@ def csv_roundtrip(spark, sf):
     return load.read_export(spark, path, [c for c in headers.columns if c != COUNTRY])
 
 
-def _database(spark) -> str:
+@contextmanager
+def _database(spark):
+    """A database that is gone afterwards, with its folder; results that must last are kept elsewhere."""
     name = "quipu_" + uuid.uuid4().hex
     spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, name)}'")
-    return name
+    try:
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _kept(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "kept")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @query
@@ -520,42 +534,50 @@ def report_to_table(spark, sf):
     """Two reports, exported twice, landed by country, and the newer content loaded with its types."""
     tables = erp(spark, sf, "SOP30200", "RM00101")
     reports_ = {"Documentos": (tables["SOP30200"], "DOCAMNT"), "Clientes": (tables["RM00101"], "CRLMTAMT")}
-    root, name, sums = scratch_path(spark, "reports"), _database(spark), []
+    root, sums = scratch_path(spark, "reports"), []
     for at, part in ((datetime(2024, 1, 5), F.col(COUNTRY) != "PERU"), (datetime(2024, 2, 5), F.lit(True))):
         for report, (df, _) in reports_.items():
             load.export(df.filter(part), root, report, at)
     declared = {r.upper(): {amount: "decimal(19,5)"} for r, (_, amount) in reports_.items()}
-    records = load.load_landing(spark, root, name, declared=declared).select("pais", "tabla", "filas_cargadas")
-    for report, (_, amount) in reports_.items():
-        for country in COUNTRIES:
-            stored = spark.table(load.full_name(name, f"{report}_{country}".upper()))
-            total = F.sum(amount).cast("decimal(38,5)").alias("total")
-            sums.append(stored.agg(total).withColumn("tabla", F.lit(f"{report}_{country}".upper())))
-    return records.join(reduce(DataFrame.unionAll, sums), "tabla")
+    with _database(spark) as name:
+        records = load.load_landing(spark, root, name, declared=declared).select("pais", "tabla", "filas_cargadas")
+        for report, (_, amount) in reports_.items():
+            for country in COUNTRIES:
+                stored = spark.table(load.full_name(name, f"{report}_{country}".upper()))
+                total = F.sum(amount).cast("decimal(38,5)").alias("total")
+                sums.append(stored.agg(total).withColumn("tabla", F.lit(f"{report}_{country}".upper())))
+        return _kept(records.join(reduce(DataFrame.unionAll, sums), "tabla"))
 
 
 @query
 def replace_with_backup(spark, sf):
     orders = table(spark, sf, "orders")
-    name = _database(spark)
-    for content in (orders.filter("o_orderstatus = 'F'"), orders.filter("o_orderstatus <> 'F'")):
-        load.replace_with_backup(spark, content, name, "ORDERS_CHILE")
-    load.replace_with_backup(spark, orders.limit(0), name, "ORDERS_CHILE")
-    return profile.table_counts(
-        {
-            t: spark.table(load.full_name(name, t))
-            for t in ("ORDERS_CHILE", "ORDERS_CHILE" + load.BACKUP)
-        }
-    )
+    with _database(spark) as name:
+        for content in (orders.filter("o_orderstatus = 'F'"), orders.filter("o_orderstatus <> 'F'")):
+            load.replace_with_backup(spark, content, name, "ORDERS_CHILE")
+        load.replace_with_backup(spark, orders.limit(0), name, "ORDERS_CHILE")
+        both = ("ORDERS_CHILE", "ORDERS_CHILE" + load.BACKUP)
+        return _kept(profile.table_counts({t: spark.table(load.full_name(name, t)) for t in both}))
 
 
-@query
-def catalog_stats(spark, sf):
-    name = _database(spark)
+def _catalog(spark, sf, name) -> DataFrame:
     for t in TEST_TABLES:
         spark.catalog.createTable(f"{name}.{t}", path=f"{sf}/{t}.parquet", source="parquet")
-    stats = catalog.catalog_stats(spark, name)
-    return stats.select("tabla", "filas", (F.col("bytes") > 0).alias("con_bytes"))
+    return catalog.catalog_stats(spark, name)
+
+
+@query
+def catalog_stats(spark, sf):
+    with _database(spark) as name:
+        stats = _catalog(spark, sf, name)
+        return _kept(stats.select("tabla", "filas", (F.col("bytes") > 0).alias("con_bytes")))
+
+
+@query
+def catalog_totals(spark, sf):
+    with _database(spark) as name:
+        totals = catalog.catalog_totals(_catalog(spark, sf, name))
+        return _kept(totals.select("tablas", "filas", (F.col("bytes") > 0).alias("con_bytes")))
 
 
 @query
@@ -620,3 +642,234 @@ def x_returns(spark, sf):
 @query
 def x_products_ean(spark, sf):
     return loaded(extra.products_with_ean(erp(spark, sf, "IV00101", "maeGC_ProductoEquiv")))
+
+
+# --- loads with an account -----------------------------------------------------------------------
+
+
+def text_orders(spark, sf) -> DataFrame:
+    """Orders as a file brings them: all text, of every kind of cell."""
+    amount = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
+    day, key = F.col("o_orderdate").cast("date").cast("string"), F.col("o_orderkey")
+    return table(spark, sf, "orders").select(
+        key.cast("string").alias("entero"),
+        amount.alias("monto"),
+        F.when(key % 10 == 0, "1.5e3").otherwise(amount).alias("real"),
+        F.when(key % 3 > 0, day).alias("fecha"),
+        F.when(key % 5 == 0, F.concat(day, F.lit(" 10:30:00"))).otherwise(day).alias("hora"),
+        F.when(F.col("o_orderstatus") == "F", "true").otherwise("FALSE").alias("logico"),
+        F.when(key % 100 == 0, "n/d").otherwise(amount).alias("mezcla"),
+        F.lpad(F.col("o_custkey").cast("string"), 12, "0").alias("ceros"),
+        F.col("o_custkey").cast("string").alias("COD_CLIENTE"),
+        F.lit(None).cast("string").alias("vacia"),
+        F.col("o_orderpriority").alias("texto"),
+    )
+
+
+@query
+def infer_types(spark, sf):
+    """From the states of the days' parts, merged."""
+    orders = text_orders(spark, sf)
+    return infer.types_of(infer.merged(infer.cell_states(orders, by=["logico"]))).unionAll(
+        infer.types_of(infer.cell_states(orders, ["logico"]))
+    )
+
+
+@query
+def load_typed(spark, sf):
+    """Orders written as CSV, read back as text, and loaded with the types found."""
+    path = scratch_path(spark, "typed") + "/CHILE"
+    load.write_csv(text_orders(spark, sf).drop("real", "mezcla"), path)
+    rows = infer.load_typed(landing.read_csv(spark, path))
+    return rows.withColumn("MONTO", F.col("MONTO").cast("decimal(19,2)"))
+
+
+def faulty_customers(spark, sf) -> DataFrame:
+    """Customer lines with short and over-long rows, and amounts that are none."""
+    key, amount = F.col("c_custkey").cast("string"), F.col("c_acctbal").cast("decimal(12,2)").cast("string")
+    segment = F.col("c_mktsegment")
+    line = (
+        F.when(segment == "BUILDING", F.concat_ws(",", key, "c_name"))
+        .when(segment == "FURNITURE", F.concat_ws(",", key, "c_name", amount, segment, key))
+        .when((segment == "MACHINERY") & (F.col("c_custkey") % 2 == 0), F.concat_ws(",", key, "c_name", F.lit("n/d"), segment))
+        .otherwise(F.concat_ws(",", key, "c_name", amount, segment))
+    )
+    return table(spark, sf, "customer").select(line.alias("Cliente,Nombre,Cupo,Giro"))
+
+
+@query
+def load_account(spark, sf):
+    """The same file refused for what does not fit, and loaded where that is allowed."""
+    path = scratch_path(spark, "account") + "/CHILE/Clientes_20240105_000000.csv"
+    faulty_customers(spark, sf).write.option("header", "true").option("sep", "\u0001").option("quote", "\u0000").csv(path)
+    types, many = {"CLIENTE": "bigint", "CUPO": "decimal(12,2)"}, table(spark, sf, "customer").count()
+    out = []
+    with _database(spark) as name:
+        for limit in (0, many, 0):
+            record = load.load_file(spark, path, "CHILE", "CLIENTES_CHILE", name, types, max_invalid=limit)
+            full = load.full_name(name, "CLIENTES_CHILE")
+            held = spark.table(full).count() if spark.catalog.tableExists(full) else 0
+            out.append((len(out) + 1, held, *record))
+    records = spark.createDataFrame(out, "intento int, en_tabla long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in runlog.LOAD_RECORD))
+    return records.select(
+        "intento", "filas_leidas", "filas_cargadas", "filas_largas", "filas_cortas", "celdas_invalidas", "exito",
+        F.col("error").isNotNull().alias("con_error"), "en_tabla",
+    )
+
+
+@query
+def landing_inventory(spark, sf):
+    """Every delivery with what its load made of it, files of zero bytes too."""
+    root = scratch_path(spark, "deliveries")
+    load.export(erp(spark, sf, "RM00101")["RM00101"], root, "Clientes", datetime(2024, 1, 5))
+    for country in COUNTRIES:
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{country}/Nada_20240105_000000.csv")
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).create(place).close()
+    with _database(spark) as name:
+        records = load.load_landing(spark, root, name, infer=True)
+        loaded = records.select(F.col("pais").alias("PAIS"), "archivo", "filas_cargadas", F.col("error").isNotNull().alias("con_error"))
+        found = listing.inventory(spark, root).select("PAIS", "archivo", "vacio")
+        return _kept(found.join(loaded, ["PAIS", "archivo"], "left"))
+
+
+@query
+def sweep(spark, sf):
+    """Five loads and an empty one, and the folders that are left after a sweep."""
+    orders = table(spark, sf, "orders")
+    with _database(spark) as name:
+        root = spark.catalog.getDatabase(name).locationUri
+        for day in range(5):
+            load.replace_with_backup(spark, orders.where(F.col("o_orderkey") % 5 <= day), name, "T")
+        load.replace_with_backup(spark, orders.limit(0), name, "T")
+        before = retention.versions(spark, root).count()
+        later = datetime.now(timezone.utc) + timedelta(minutes=5)
+        gone = retention.sweep(spark, root, [name], later, timedelta(0)).count()
+        left = profile.table_counts({t: spark.table(load.full_name(name, t)) for t in ("T", "T" + load.BACKUP)})
+        found = {"antes": before, "borradas": gone, "quedan": retention.versions(spark, root).count()}
+        return _kept(left.select("tabla", "filas", *[F.lit(n).cast("long").alias(c) for c, n in found.items()]))
+
+
+# --- extractions over time -----------------------------------------------------------------------
+
+
+@query
+def control_run(spark, sf):
+    """Posted documents extracted twice: later ones came, some of one month changed, some of another went."""
+    headers, root = erp(spark, sf, "SOP30200")["SOP30200"], scratch_path(spark, "control")
+    month = F.date_format("DOCDATE", "yyyy-MM")
+    raised = F.when((F.col(COUNTRY) == "COLOMBIA") & (month == "1996-03"), F.col("TAXAMNT") + 1).otherwise(F.col("TAXAMNT"))
+    went = (F.col(COUNTRY) == "PERU") & (month == "1997-05") & (F.col("SOPTYPE") == 4)
+    old = headers.where("DOCDATE <= DATE '2001-05-31'")
+    new = headers.where("DOCDATE <= DATE '2001-06-30'").where(~went)
+    new = new.withColumn("TAXAMNT", raised.cast("decimal(19,5)"))
+    keys = ["SOPNUMBE", "SOPTYPE"]
+    control.control_run(spark, old, root, "SOP30200", datetime(2001, 6, 1), keys)
+    out = control.control_run(spark, new, root, "SOP30200", datetime(2001, 7, 1), keys)
+    return out.drop("archivo", "timestamp")
+
+
+@query
+def control_tree(spark, sf):
+    """The digest of the whole table over its countries and months."""
+    headers, root = erp(spark, sf, "SOP30200")["SOP30200"], scratch_path(spark, "tree")
+    control.store(headers, root, "SOP30200", "1", "DOCDATE")
+    return control.table_root(control.leaves(control.stored(spark, root, "SOP30200", "1", headers)))
+
+
+@query
+def rolling_refresh(spark, sf):
+    """Three refreshes of a store; what it holds then is what a scan of the whole source gives."""
+    headers = erp(spark, sf, "SOP30200")["SOP30200"]
+    with _database(spark) as name:
+        for as_of in (date(2001, 5, 1), date(2001, 6, 1), AS_OF):
+            held = headers.where(F.col("DOCDATE") <= F.lit(as_of))
+            rolling.refresh(spark, lambda since: held.where(F.col("DOCDATE") >= F.lit(since)), name, "DOCS", as_of, 120)  # noqa: B023
+        return _kept(rolling.window(spark, name, "DOCS", AS_OF, 120))
+
+
+@query
+def slice_bounds(spark, sf):
+    """Rows of each of twelve slices of a source of which a third lies on one day."""
+    lines = table(spark, sf, "lineitem")
+    day = F.when(F.col("l_linenumber") % 3 == 0, F.lit("1998-09-02")).otherwise(F.col("l_shipdate").cast("date").cast("string"))
+    view = "source_" + uuid.uuid4().hex
+    lines.select(day.cast("date").alias("dia"), "l_orderkey", "l_linenumber", "l_partkey").createTempView(view)
+    found = slices.equal_slices(spark.sql, view, ["dia", "l_orderkey", "l_linenumber", "l_partkey"], 12)
+    counts = [F.count_if(F.expr(p)).alias(f"c{i}") for i, p in enumerate(found)]
+    rows = [F.struct(F.lit(i).alias("rebanada"), F.col(f"c{i}").alias("filas")) for i in range(len(found))]
+    return spark.table(view).agg(*counts).select(F.inline(F.array(*rows)))
+
+
+@query
+def stream_current(spark, sf):
+    """Customers landed in snapshots out of order, with a run after each; the newest one's rows are left."""
+    rows = erp(spark, sf, "RM00101")["RM00101"].select("CUSTNMBR", "CUSTCLAS", F.col("CRLMTAMT").cast("string"), COUNTRY)
+    base = scratch_path(spark, "current")
+    for stamp, part in (((2024, 2, 1), "CUSTCLAS <> 'BUILDING'"), ((2024, 1, 1), "true"), ((2024, 3, 1), "CUSTCLAS = 'BUILDING'")):
+        load.export(rows.where(part), f"{base}/drop", "Clientes", datetime(*stamp))
+        current.stream_current(spark, f"{base}/drop", "*.csv", f"{base}/table", f"{base}/checkpoint").awaitTermination()
+    return current.current(spark, f"{base}/table").select(COUNTRY, "CUSTNMBR", "CUSTCLAS", "CRLMTAMT")
+
+
+# --- exploration of whole tables -----------------------------------------------------------------
+
+
+@query
+def facets(spark, sf):
+    names = ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_suppkey", "l_partkey", "l_orderkey"]
+    lines = table(spark, sf, "lineitem").withColumn("l_quantity", F.col("l_quantity").cast("int"))
+    return frequent.facets(lines, names)
+
+
+@query
+def cached_sql(spark, sf):
+    """A statement asked twice: the second answer comes from the first one's entry."""
+    path, root, view = scratch_path(spark, "source"), scratch_path(spark, "cache"), "orders_" + uuid.uuid4().hex
+    table(spark, sf, "orders").write.parquet(path)
+    spark.read.parquet(path).createTempView(view)
+    sql = f"SELECT o_orderstatus, count(*) AS n, sum(cast(o_totalprice AS decimal(19,5))) AS total FROM {view} WHERE o_orderdate >= :since GROUP BY o_orderstatus"
+    cache.cached_sql(spark, sql, root, since=START)
+    again = cache.cached_sql(spark, sql, root, since=START)
+    return again.withColumn("de_cache", F.lit(all(root.rsplit("/", 1)[-1] in f for f in again.inputFiles())))
+
+
+# --- reports by name and names -------------------------------------------------------------------
+
+
+@query
+def sales_sellin(spark, sf):
+    return loaded(registry.run("Reporte Único de Ventas Sellin", erp(spark, sf, *MOV, *SOP), START, END))
+
+
+@query
+def sales_market(spark, sf):
+    return loaded(registry.run("reporte unico de ventas mercado", erp(spark, sf, *MOV), START, END))
+
+
+@query
+def ready_rows(spark, sf):
+    """Rows that a source delivers ready-made win, even none; only where it has no answer is the report computed."""
+    tables = erp(spark, sf, "IV00108", "IV00101")
+    ready = {"Obtener Precio Lista": tables["IV00108"].limit(0), "Listar Productos Detallado": None}
+    counted = [
+        registry.run(n, tables, ready=ready).agg(F.count(F.lit(1)).alias("filas")).select(F.lit(n).alias("reporte"), "filas")
+        for n in ready
+    ]
+    return reduce(DataFrame.unionAll, counted)
+
+
+@query
+def repeated_headers(spark, sf):
+    """Headers that are alike once normalised, or but for case, are told apart; blanks, dots and quotes may stand in them."""
+    heads = ["Cód. Cliente", "COD-CLIENTE", "cód  cliente", "Razon", "a`b.c"]
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal").toDF(*heads)
+    plain = names.normalize_columns(rows)
+    return plain.select(*[F.col(names.quote_ident(c)) for c in plain.columns]).withColumnRenamed("A`B_C", "SALDO")
+
+
+@query
+def session_info(spark, sf):
+    """What the session says of itself, next to the size of what it reads."""
+    rows = table(spark, sf, "region").agg(F.count(F.lit(1)).alias("filas"))
+    info = rows.select("filas", *catalog.session_columns())
+    return info.select("filas", "catalogo", (F.col("usuario") != "").alias("con_usuario"))

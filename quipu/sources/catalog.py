@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quipu.functions.text import quoted
@@ -43,9 +43,9 @@ def catalog_totals(stats: DataFrame) -> DataFrame:
     )
 
 
+def session_columns() -> list[Column]:
+    return [F.current_catalog().alias("catalogo"), F.current_database().alias("base"), F.current_user().alias("usuario")]
+
+
 def session_info(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(
-        F.current_catalog().alias("catalogo"),
-        F.current_database().alias("base"),
-        F.current_user().alias("usuario"),
-    )
+    return spark.range(1).select(*session_columns())
