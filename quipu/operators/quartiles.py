@@ -55,16 +55,12 @@ class _Prefix:
     bits: int
     value: int
 
-    def bounds(self) -> tuple[float, float]:
-        rest = 64 - self.bits
-        return value_of(self.value << rest), value_of(((self.value + 1) << rest) - 1)
-
     def holds(self) -> Column:
         c = F.col(self.column)
         if not self.bits:
             return c.isNotNull()
-        low, high = self.bounds()
-        return c.between(F.lit(low), F.lit(high))
+        rest = 64 - self.bits
+        return c.between(F.lit(value_of(self.value << rest)), F.lit(value_of(((self.value + 1) << rest) - 1)))
 
 
 def order_statistics(
@@ -96,24 +92,24 @@ def order_statistics(
 def _counted(
     values: DataFrame, at: Mapping[tuple[str, int], tuple[_Prefix, int]], bits: int, width: int
 ) -> dict[tuple[_Prefix, int], tuple[int, int, int]]:
-    """Of each prefix and rank within it: the next digit, the values before that digit, and those that have it."""
+    """Of each prefix and rank within it: the next digit, the values before that digit, and those that have it.
+
+    Whether a prefix holds a value is two comparisons; keys are worked out for those it holds alone.
+    """
     wanted: dict[_Prefix, list[int]] = {}
     for prefix, inside in at.values():
         wanted.setdefault(prefix, []).append(inside)
     prefixes = list(wanted)
-    shift = 64 - bits - width
     tests = [p.holds() for p in prefixes]
-    tagged = []
-    for j, (p, test) in enumerate(zip(prefixes, tests)):
-        digit = F.shiftright(order_key(F.col(p.column)), shift)
-        if bits:
-            digit = digit - F.lit(p.value << width)
-        tagged.append(F.when(test, F.struct(F.lit(j).alias("j"), digit.alias("d"))))
-    rows = values.where(reduce(or_, tests)).select(F.explode(F.array_compact(F.array(*tagged))).alias("t"))
-    tally = rows.groupBy("t.j", "t.d").agg(F.count(F.lit(1)).alias("n"))
+    tagged = [F.when(t, F.struct(F.lit(j).alias("j"), F.col(p.column).alias("x"))) for j, (p, t) in enumerate(zip(prefixes, tests))]
+    rows = values.where(reduce(or_, tests)) if bits else values
+    held = rows.select(F.explode(F.array_compact(F.array(*tagged))).alias("t")).select("t.j", order_key(F.col("t.x")).alias("key"))
+    first = F.array(*[F.lit(p.value << width if bits else 0).cast("long") for p in prefixes])[F.col("j")]
+    digit = F.shiftright("key", 64 - bits - width) - first
+    tally = held.groupBy("j", digit.alias("d")).agg(F.count(F.lit(1)).alias("n"))
     upto = F.sum("n").over(Window.partitionBy("j").orderBy("d"))
     ranks = F.array(*[F.array(*[F.lit(r).cast("long") for r in sorted(set(wanted[p]))]) for p in prefixes])
     placed = tally.select("j", "d", "n", (upto - F.col("n")).alias("before"), ranks[F.col("j")].alias("ranks"))
-    held = placed.select("j", "d", "n", "before", F.explode("ranks").alias("rank"))
-    held = held.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n")))
-    return {(prefixes[r.j], r["rank"]): (r.d, r.before, r.n) for r in held.collect()}  # one row per column and rank
+    found = placed.select("j", "d", "n", "before", F.explode("ranks").alias("rank"))
+    found = found.where((F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("n")))
+    return {(prefixes[r.j], r["rank"]): (r.d, r.before, r.n) for r in found.collect()}  # one row per column and rank
