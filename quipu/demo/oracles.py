@@ -236,10 +236,10 @@ SELECT count(*) AS total_registros, sha256(concat_ws(chr(31), cast(count(*) AS v
 FROM parts"""
 
 
-def _extracted() -> str:
+def _extracted(headers: str = "") -> str:
     window = f">= {AS_OF} - 1080"
     parts = [
-        f"SELECT PAIS, 'movGC_VtDocumentoVtaCab' AS tabla FROM movGC_VtDocumentoVtaCab WHERE fEmision {window}",
+        f"SELECT PAIS, 'movGC_VtDocumentoVtaCab' AS tabla FROM movGC_VtDocumentoVtaCab WHERE fEmision {window}{headers}",
         "SELECT PAIS, 'movGC_VtDocumentoVtaDet' FROM movGC_VtDocumentoVtaDet",
         "SELECT PAIS, 'maeGC_ProductoEquiv' FROM maeGC_ProductoEquiv",
         f"SELECT PAIS, 'RM00101' FROM RM00101 WHERE CREATDDT {window}",
@@ -702,4 +702,23 @@ UNION ALL SELECT 'Listar Productos Detallado', count(*) FROM IV00101""",
 SELECT c_custkey AS COD_CLIENTE, c_name AS COD_CLIENTE_1, c_nationkey AS COD_CLIENTE_2, c_mktsegment AS RAZON_SOCIAL,
   c_acctbal AS SALDO FROM customer""",
     "session_info": "SELECT count(*) AS filas, 'spark_catalog' AS catalogo, true AS con_usuario FROM region",
+    "extract_controlled": _extracted(" AND NOT (PAIS = 'CHILE' AND nTotal > 400000)")
+    + """
+SELECT pais, tabla, registros, estado, CASE WHEN registros > 0 THEN 2 END AS version,
+  CASE WHEN pais = 'CHILE' AND tabla = 'movGC_VtDocumentoVtaCab' THEN 'modificacion_detectada'
+    WHEN registros > 0 THEN 'actualizado_incremental' END AS control,
+  CASE WHEN registros > 0 THEN 64 END AS cifras, registros > 0 AS con_archivo
+FROM records""",
+    "load_losses": """WITH r AS (
+  SELECT o_orderpriority AS pais, CASE o_orderstatus WHEN 'O' THEN 0 ELSE o_custkey END AS leidas,
+    CASE o_orderstatus WHEN 'F' THEN o_custkey ELSE 0 END AS cargadas, o_orderstatus = 'F' AS exito FROM orders)
+SELECT coalesce(pais, 'TOTAL') AS pais, cast(sum(leidas) AS bigint) AS filas_leidas,
+  cast(sum(cargadas) AS bigint) AS filas_cargadas, cast(sum(leidas % 5) AS bigint) AS filas_largas,
+  cast(sum(leidas % 7) AS bigint) AS filas_cortas,
+  cast(coalesce(sum(CASE WHEN exito THEN leidas % 3 END), 0) AS bigint) AS celdas_invalidas,
+  cast(sum(leidas) - sum(cargadas) AS bigint) AS filas_no_cargadas
+FROM r GROUP BY ROLLUP (pais)""",
+    "own_report": ctes("RM00101")
+    + """ SELECT PAIS, rtrim(CUSTCLAS) AS CLASE, count(*) AS CLIENTES, cast(sum(CRLMTAMT) AS decimal(29,5)) AS CUPO
+FROM RM00101 GROUP BY 1, 2""",
 }

@@ -22,7 +22,7 @@ from quipu.plans import extra, registry, reports
 from quipu.session import scratch_path
 from quipu.sources import catalog, landing, listing, slices
 from quipu.sources.erp import Erp, full_scan, rolling_scan
-from quipu.sources.extract import Extraction, extract
+from quipu.sources.extract import Extraction, controlled, extract
 from quipu.streaming import current
 from quipu.streaming import landing as stream
 
@@ -243,6 +243,21 @@ def extract_summary(spark, sf):
     return runlog.extract_summary(_extracted(spark, sf).records())
 
 
+@query
+def extract_controlled(spark, sf):
+    """The listed tables extracted twice, the second time with a country's dearest documents gone."""
+    first, root = _extracted(spark, sf), scratch_path(spark, "extractions")
+    controlled(first, root, datetime(2001, 8, 1), AS_OF)
+    cab = first.tables[MOV[0]]
+    less = {MOV[0]: cab.where((F.col(COUNTRY) != "CHILE") | (F.col("nTotal") <= 400_000))}
+    second = Extraction(first.tables | less, first.attempts, first.counted | less)
+    out = controlled(second, root, datetime(2001, 8, 2), AS_OF, keys={MOV[0]: ["cSerie", "nCorrelativo"]})
+    return out.select(
+        "pais", "tabla", "registros", "estado", "version", "control",
+        F.length("hash_sha256").alias("cifras"), F.col("archivo").isNotNull().alias("con_archivo"),
+    )
+
+
 # --- exploration ---------------------------------------------------------------------------------
 
 
@@ -386,6 +401,14 @@ def load_summary(spark, sf):
     return runlog.load_summary(load_records(spark, sf))
 
 
+@query
+def load_losses(spark, sf):
+    """Of loads with accounts: an order's number of rows, of which some were over-long, some short."""
+    rows = F.col("filas_leidas")
+    counts = {"filas_largas": rows % 5, "filas_cortas": rows % 7, "celdas_invalidas": F.when(F.col("exito"), rows % 3)}
+    return runlog.load_losses(load_records(spark, sf).withColumns(counts))
+
+
 @query
 def load_states(spark, sf):
     return runlog.load_states(load_records(spark, sf))
@@ -858,6 +881,18 @@ def ready_rows(spark, sf):
     return reduce(DataFrame.unionAll, counted)
 
 
+@query
+def own_report(spark, sf):
+    """A report that the user adds, run by its name like the others."""
+
+    def per_class(tables: Erp, ordered: bool = True) -> DataFrame:
+        rows = tables["RM00101"].groupBy(COUNTRY, F.rtrim("CUSTCLAS").alias("Clase"))
+        return rows.agg(F.count(F.lit(1)).alias("Clientes"), F.sum("CRLMTAMT").alias("Cupo"))
+
+    registry.register(registry.Report("Clientes por Clase", "Clientes y cupo de cada clase", per_class, False))
+    return loaded(registry.run("clientes POR clase", erp(spark, sf, "RM00101")))
+
+
 @query
 def repeated_headers(spark, sf):
     """Headers that are alike once normalised, or but for case, are told apart; blanks, dots and quotes may stand in them."""

@@ -14,12 +14,13 @@ Months before the start of a rolling window left with the window; that is no mod
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from datetime import date, datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,10 +56,14 @@ def month_of(df: DataFrame, column: str | None) -> Column:
 
 
 def store(df: DataFrame, root: str, table: str, run: str, column: str | None) -> str:
-    """Keep an extraction by country and month; returns its folder."""
+    """Keep an extraction by country and month; returns its folder.
+
+    A part's rows come together in a few tasks, so that it has a few files and not one from every task; a part too
+    large for one task is divided by the engine.
+    """
     path = f"{root.rstrip('/')}/{table}/{RUN}={run}"
     rows = df if COUNTRY in df.columns else df.withColumn(COUNTRY, F.lit(""))
-    rows = rows.withColumn(MONTH, month_of(df, column))
+    rows = rows.withColumn(MONTH, month_of(df, column)).hint("rebalance", F.col(COUNTRY), F.col(MONTH))
     rows.write.mode("errorifexists").partitionBy(COUNTRY, MONTH).parquet(path)
     return path
 
@@ -123,18 +128,31 @@ def newest(leaves_: DataFrame) -> DataFrame:
     return leaves_.withColumn("_last", F.max("version").over(by)).where("version = _last").drop("_last")
 
 
-def compared(old: DataFrame, new: DataFrame, first_month: str | None) -> DataFrame:
-    """(pais, mes, corrida, antes, ahora, caso) of all leaves of either: igual, distinta, nueva, ausente or vencida."""
-    old = old.select("pais", "mes", "corrida", F.col("registros").alias("antes"), F.col("hash_sha256").alias("_was"))
-    new = new.select("pais", "mes", F.col("registros").alias("ahora"), "hash_sha256")
-    gone = (F.col("mes") < F.lit(first_month)) & (F.col("mes") != NO_MONTH) if first_month else F.lit(False)
-    case = (
-        F.when(F.col("_was").isNull(), "nueva")
-        .when(F.col("hash_sha256").isNull(), F.when(gone, "vencida").otherwise("ausente"))
-        .when(F.col("_was") == F.col("hash_sha256"), "igual")
-        .otherwise("distinta")
-    )
-    return old.join(new, ["pais", "mes"], "full").select("pais", "mes", "corrida", "antes", "ahora", case.alias("caso"))
+def compared(old: Sequence[Row], new: Sequence[Row], first_month: str | None) -> list[tuple[str, str, str | None, int, int, str]]:
+    """(country, month, earlier run, rows before, rows now, case) of all leaves of either side.
+
+    A case is igual, distinta, nueva, ausente, or vencida for a month that has left the window. There are as many
+    leaves as countries times months, so they are compared in the driver.
+    """
+    before, now = ({(r.pais, r.mes): r for r in side} for side in (old, new))
+    out = []
+    for country, month in sorted(before.keys() | now.keys()):
+        was, is_ = before.get((country, month)), now.get((country, month))
+        if was is None:
+            case = "nueva"
+        elif is_ is None:
+            case = "vencida" if first_month and month != NO_MONTH and month < first_month else "ausente"
+        else:
+            case = "igual" if was.hash_sha256 == is_.hash_sha256 else "distinta"
+        run = was.corrida if was else None
+        out.append((country, month, run, was.registros if was else 0, is_.registros if is_ else 0, case))
+    return out
+
+
+def node(leaves_: Sequence[Row]) -> str:
+    """The digest over a country's leaves, as ``roots`` has it."""
+    texts = sorted((f"{r.mes}:{r.hash_sha256}" for r in leaves_), key=str.encode)
+    return hashlib.sha256(SEPARATOR.join(texts).encode()).hexdigest()
 
 
 def parts(rows: DataFrame, wanted: Sequence[tuple[str, str]]) -> DataFrame:
@@ -185,43 +203,39 @@ def control_run(
     column = date_column(df, declared_date)
     path = store(df, root, table, run, column)
     new_rows = stored(spark, root, table, run, df)
-    new = spark.createDataFrame(leaves(new_rows).collect(), "pais string, mes string, registros long, hash_sha256 string")
-    old = newest(leaf_history(spark, root).where(F.col("tabla") == table))
-    versions = {r.pais: r.version for r in old.select("pais", "version").distinct().collect()}
-    found = compared(old, new, f"{since:%Y-%m}" if since else None).collect()  # countries times months
-    differing = [(r.pais, r.mes, r.corrida) for r in found if r.caso == "distinta"]
+    new = leaves(new_rows).collect()  # countries times months, here and below
+    old = newest(leaf_history(spark, root).where(F.col("tabla") == table)).collect()
+    versions = {r.pais: r.version for r in old}
+    found = compared(old, new, f"{since:%Y-%m}" if since else None)
     moved: dict[str, list[int]] = {}
     schemas_differ: set[str] = set()
-    for earlier in sorted({r.corrida for r in found if r.corrida and r.caso != "vencida"}):
+    for earlier in sorted({run_ for _, _, run_, _, _, case in found if run_ and case != "vencida"}):
         before = stored(spark, root, table, earlier)
         if dict(before.dtypes) != dict(new_rows.dtypes):
-            schemas_differ |= {r.pais for r in found if r.corrida == earlier}
-        mine = [d for d in differing if d[2] == earlier]
+            schemas_differ |= {country for country, _, run_, *_ in found if run_ == earlier}
+        mine = [(country, month, run_) for country, month, run_, _, _, case in found if case == "distinta" and run_ == earlier]
         if mine:
             limit = (F.col(column) >= bound(before, column, since)) if since and column and column in before.columns else None
             rows = changes(spark, root, table, before, run, mine, keys or key_columns(df), limit)
             moved |= {r.pais: [r.iguales, r.modificadas, r.agregadas, r.eliminadas] for r in rows.collect()}
-    records = []
-    for node in roots(new).collect():
-        own = [r for r in found if r.pais == node.pais]
-        same, changed, came, gone = moved.get(node.pais, [0, 0, 0, 0])
-        same += sum(r.antes for r in own if r.caso == "igual")
-        came += sum(r.ahora for r in own if r.caso == "nueva")
-        gone += sum(r.antes for r in own if r.caso == "ausente")
-        version = versions.get(node.pais, 0)
-        verdict = MODIFIED if changed or gone or node.pais in schemas_differ else UNCHANGED
-        verdict = verdict if version else INITIAL
-        read = sum(r.caso == "distinta" for r in own)
-        counts = (same, changed, came, gone)
-        file = f"{path}/{COUNTRY}={node.pais}"
+    records, kept = [], []
+    for country in sorted({r.pais for r in new}):
+        own, held = [f for f in found if f[0] == country], [r for r in new if r.pais == country]
+        same, changed, came, gone = moved.get(country, [0, 0, 0, 0])
+        same += sum(was for *_, was, _, case in own if case == "igual")
+        came += sum(now for *_, now, case in own if case == "nueva")
+        gone += sum(was for *_, was, _, case in own if case == "ausente")
+        version = versions.get(country, 0) + 1
+        verdict = MODIFIED if changed or gone or country in schemas_differ else UNCHANGED
+        verdict = verdict if version > 1 else INITIAL
+        read = sum(f[-1] == "distinta" for f in own)
+        total, file = sum(r.registros for r in held), f"{path}/{COUNTRY}={country}"
         records.append(
-            (node.pais, table, version + 1, STATES[verdict], node.registros, at, node.hash_sha256, file, node.meses, read, *counts)
+            (country, table, version, STATES[verdict], total, at, node(held), file, len(held), read, same, changed, came, gone)
         )
+        kept += [(table, country, r.mes, run, version, r.registros, r.hash_sha256) for r in held]
     out = spark.createDataFrame(records, RECORD)
-    kept = new.join(out.select("pais", "version"), "pais").select(
-        F.lit(table).alias("tabla"), "pais", "mes", F.lit(run).alias("corrida"), "version", "registros", "hash_sha256"
-    )
     base = f"{root.rstrip('/')}/_control"
-    kept.coalesce(1).write.mode("append").parquet(f"{base}/hojas")  # first: versions are counted here
+    spark.createDataFrame(kept, LEAF).coalesce(1).write.mode("append").parquet(f"{base}/hojas")  # first: versions are counted here
     out.coalesce(1).write.mode("append").parquet(f"{base}/registros")
     return out

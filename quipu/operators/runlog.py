@@ -96,6 +96,20 @@ def load_summary(records: DataFrame) -> DataFrame:
     )
 
 
+def load_losses(records: DataFrame) -> DataFrame:
+    """What loads did not take over, per country and in all (``TOTAL``): rows skipped, filled up, and cells lost.
+
+    A refused or failed load takes over nothing; its rows count as read.
+    """
+    sums = ("filas_leidas", "filas_cargadas", "filas_largas", "filas_cortas", "celdas_invalidas")
+    found = records.rollup("pais").agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums], F.grouping("pais").alias("total")
+    )
+    country = F.when(F.col("total") == 1, F.lit("TOTAL")).otherwise(F.col("pais"))
+    rest = F.col("filas_leidas") - F.col("filas_cargadas")
+    return found.select(country.alias("pais"), *sums, rest.alias("filas_no_cargadas"))
+
+
 def load_errors(records: DataFrame) -> DataFrame:
     return records.filter(F.col("error").isNotNull()).select("pais", "archivo", "error")
 

@@ -24,75 +24,75 @@ class Report:
     enrich_ean: bool = False
 
 
-# The names and descriptions under which users know the reports.
+# The names under which users know the reports.
 REPORTS: dict[str, Report] = {
     r.name: r
     for r in (
         Report(
             "Reporte Único de Ventas",
-            "Lista documentos de ventas en un período específico.",
+            "Líneas de venta con código de barras, por país; donde no hay documentos locales, los contabilizados",
             reports.sales_report,
             True,
             True,
         ),
         Report(
             "Reporte Único de Ventas Sellin",
-            "Reporte de ventas sell-in con detalle completo.",
+            "Las mismas líneas, bajo el nombre que usa el equipo de sell-in",
             reports.sales_report,
             True,
             True,
         ),
         Report(
             "Reporte Único de Ventas Mercado",
-            "Reporte de ventas por mercado.",
+            "Las mismas líneas, bajo el nombre que usan los mercados",
             reports.sales_report,
             True,
             True,
         ),
-        Report("Listar Clientes", "Listado completo de clientes", reports.customers, False),
+        Report("Listar Clientes", "Maestro de clientes con cupo, moneda, estado y correo", reports.customers, False),
         Report(
             "Listar Productos Detallado",
-            "Listado detallado de productos con códigos equivalentes",
+            "Maestro de productos con costos, precio y existencias",
             reports.products,
             False,
         ),
         Report(
             "Lista Stock por Almacén y Lote",
-            "Inventario por almacén y lote con fechas de vencimiento",
+            "Existencias positivas de cada lote y su vencimiento",
             reports.stock_by_lot,
             False,
         ),
         Report(
             "Obtener Precio Lista",
-            "Lista de precios activa por cliente y producto",
+            "Precios por nivel, producto, unidad y moneda",
             reports.price_list,
             False,
         ),
-        Report("Reporte Cartera", "Estado de cartera de clientes", reports.receivables, True),
+        Report("Reporte Cartera", "Documentos con saldo y sus días de atraso", reports.receivables, True),
         Report(
             "Lista Documento Vta Detallada",
-            "Documentos de venta con detalle completo",
+            "Documentos contabilizados con todas sus líneas",
             reports.sales_detail,
             True,
             True,
         ),
         Report(
             "Lista Diferencia Precios",
-            "Análisis de diferencias de precios",
+            "Líneas vendidas a más de un centavo del precio de lista",
             reports.price_differences,
             True,
         ),
         Report(
             "Fill Rate por Cliente Producto",
-            "Análisis de fill rate por cliente y producto",
+            "Cantidad pedida, entregada y pendiente, y la parte entregada",
             reports.fill_rate,
             True,
         ),
-        Report("Reporte Libro Diario", "Libro diario contable", reports.journal, True),
-        Report("Reporte Libro Mayor", "Libro mayor contable", reports.ledger, True),
+        Report("Reporte Libro Diario", "Asientos del período en orden de registro", reports.journal, True),
+        Report("Reporte Libro Mayor", "Movimientos por cuenta con su saldo", reports.ledger, True),
         Report(
             "Cuenta Contraloría",
-            "Reporte de cuenta contraloría",
+            "Movimientos de las cuentas que empiezan con 1, con su descripción",
             reports.control_accounts,
             True,
         ),
@@ -103,6 +103,11 @@ REPORTS: dict[str, Report] = {
 _BY_PLAIN_NAME = {table_name(name): report for name, report in REPORTS.items()}
 
 
+def register(report: Report) -> None:
+    """Add a report, or give a known name another way to be computed."""
+    REPORTS[report.name] = _BY_PLAIN_NAME[table_name(report.name)] = report
+
+
 def find(name: str) -> Report:
     """A report by its name; case, accents and leading symbols do not matter."""
     return _BY_PLAIN_NAME[table_name(name)]

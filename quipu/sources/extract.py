@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from quipu.functions.country import COUNTRIES
 from quipu.operators.consolidate import consolidate
+from quipu.operators.control import control_run
 from quipu.operators.ean import with_ean
 from quipu.operators.runlog import extract_records
 from quipu.sources.erp import BASE_TABLES, ROLLING_DAYS, rolling_scan
@@ -73,3 +76,31 @@ def extract(
         for country, df in frames.items():
             out.attempts.append((country, table, None if df is None else len(df.columns) + enriched))
     return out
+
+
+def controlled(
+    out: Extraction,
+    root: str,
+    at: datetime,
+    as_of: date | None = None,
+    days: int = ROLLING_DAYS,
+    keys: Mapping[str, Iterable[str]] | None = None,
+    date_columns: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Store every extracted table, compare it with the extraction before, and return the run's records.
+
+    (pais, tabla, registros, columnas, estado, archivo, hash_sha256, version, control): the last four are null where a
+    country has no rows of a table or no such table. ``as_of`` is that of a rolling extraction, whose
+    oldest months leave without being a modification.
+    """
+    declared = {t.lower(): c for t, c in (date_columns or {}).items()}
+    since = as_of - timedelta(days=days) if as_of else None
+    runs = []
+    for table, df in out.tables.items():  # a table is a job of its own, as its months are compared on their own
+        if df is not None:
+            mine = list((keys or {}).get(table, ())) or None
+            runs.append(control_run(df.sparkSession, df, root, table, at, mine, declared.get(table.lower()), since))
+    control = reduce(DataFrame.unionAll, runs).select(
+        "pais", "tabla", "archivo", "hash_sha256", "version", F.col("estado").alias("control")
+    )
+    return out.records().join(control, ["pais", "tabla"], "left")
