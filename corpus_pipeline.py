@@ -13,15 +13,32 @@ from quipu.llm.queries import byte_vocabulary
 from quipu.session import scratch_path
 
 
+#: Python workers live through all stages. With fixed limits their allocator gives large arrays back to the system when
+#: they are freed, and keeps no more than a little at its top, so that one stage's peak is not the next one's floor.
+WORKERS = {
+    "MALLOC_MMAP_THRESHOLD_": str(4 << 20),
+    "MALLOC_TRIM_THRESHOLD_": str(8 << 20),
+    "MALLOC_ARENA_MAX": "2",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
+def lean(spark: SparkSession) -> None:
+    """Few texts at once for Python workers, and workers that give memory back."""
+    bounded_batches(spark, 500)
+    for name, value in WORKERS.items():
+        spark.sparkContext.environment.setdefault(name, value)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; boilerplate lines go from the others."""
-    bounded_batches(spark)
+    lean(spark)
     return quality.cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar documents stays, the one with the smallest id."""
-    bounded_batches(spark)
+    lean(spark)
     return jaccard.deduplicated(docs)
 
 
@@ -37,7 +54,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents with their places in the sequences."""
-    bounded_batches(spark)
+    lean(spark)
     return packing.pack(docs, byte_vocabulary())
 
 
