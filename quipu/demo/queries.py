@@ -817,7 +817,7 @@ def slice_bounds(spark, sf):
     day = F.when(F.col("l_linenumber") % 3 == 0, F.lit("1998-09-02")).otherwise(F.col("l_shipdate").cast("date").cast("string"))
     view = "source_" + uuid.uuid4().hex
     lines.select(day.cast("date").alias("dia"), "l_orderkey", "l_linenumber", "l_partkey").createTempView(view)
-    found = slices.equal_slices(spark.sql, view, ["dia", "l_orderkey", "l_linenumber", "l_partkey"], 12)
+    found = slices.equal_slices(spark, view, ["dia", "l_orderkey", "l_linenumber", "l_partkey"], 12)
     counts = [F.count_if(F.expr(p)).alias(f"c{i}") for i, p in enumerate(found)]
     rows = [F.struct(F.lit(i).alias("rebanada"), F.col(f"c{i}").alias("filas")) for i in range(len(found))]
     return spark.table(view).agg(*counts).select(F.inline(F.array(*rows)))

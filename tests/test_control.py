@@ -194,6 +194,20 @@ def test_slices_of_next_to_nothing(spark, data):
     assert sum(in_slices(spark, "few_rows", found)) == len(data)
 
 
+@pytest.mark.parametrize("per_range", [1, 40, 10_000])
+def test_session_ranks_in_ranges_what_sql_ranks_in_one_task(spark, per_range):
+    day = F.when(F.col("id") % 3 == 0, F.lit("2024-02-02").cast("date")).otherwise(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 9).cast("int")))
+    third = F.when(F.col("id") % 11 != 0, F.col("id") % 5)
+    df = spark.range(400).select(F.when(F.col("id") % 17 != 0, day).alias("d"), third.alias("k"), F.concat(F.lit("it's "), F.col("id") % 20).alias("t"))
+    df.createOrReplaceTempView("ranked_rows")
+    for columns, n, where in ((["d", "k", "t"], 7, ""), (["d"], 36, "k < 3 OR k IS NULL"), (["k", "d"], 1, ""), (["d"], 3, "k > 9")):
+        theirs = spark.sql(slices.bounds_sql("ranked_rows", columns, n, where)).collect()
+        mine = slices.ranked(spark, "ranked_rows", columns, n, where, per_range)
+        assert sorted(mine, key=lambda r: r[0]) == sorted(map(tuple, theirs), key=lambda r: r[0])
+        same = [slices.equal_slices(ask, "ranked_rows", columns, n, where) for ask in (spark, spark.sql)]
+        assert same[0] == same[1]
+
+
 def test_cached_sql(spark, tmp_path):
     path, kept = f"{tmp_path}/t", f"{tmp_path}/cache"
     spark.range(10).write.parquet(path)
