@@ -21,6 +21,10 @@ How it is kept in bounds:
   group of near copies). What links is contracted to components, and only groups that still hold several
   components give pairs, of different components alone, where the shared token stands early enough in both
   to be the first of enough common ones. The result is that of all pairs.
+* Near copies of one text have nearly all tokens in common, and those tell no pair from another. Nodes of the
+  groups left that resemble a hub are told apart by their differences from it, the tokens that one has and the other
+  has not: two that differ much from the hub can be alike only where they differ from it in the same tokens, and two
+  that differ little both link with the node that differs least. So their pairs share a difference among their rarest.
 
 Null and empty texts, and texts of blanks alone, have no set and link with nothing. Texts with fewer words
 than a shingle are one token, their whole sequence. Rows without an id take part by their text and get
@@ -34,7 +38,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quipu.llm.common import components, small, staged
@@ -297,13 +301,76 @@ def _close(x: str, y: str, percent: int) -> Column:
     return sizes & (F.col(f"{x}pos") <= xn - need) & (F.col(f"{y}pos") <= yn - need)
 
 
+def _told(open_: DataFrame, hubs: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """(node, n, root, hub, size, d, tokens): nodes told apart by the tokens in which they and a hub differ.
+
+    All hubs of one component give way to the best of them. ``size`` counts all differences, ``tokens`` are those that
+    others can have too; only nodes with fewer differences than tokens are told so. Two nodes differ in at most as
+    many tokens as both from the hub, so they link where the sum of their ``d`` is 0 or less.
+    """
+    best = open_.join(hubs, "token").groupBy("node", "n", "root").agg(F.max(F.struct("hshared", "hnode")).alias("best"))
+    best = best.join(roots.select(F.col("node").alias("__hub"), F.col("root").alias("of")), F.col("best.hnode") == F.col("__hub"), "left")
+    best = best.select("node", "n", "root", "best", F.coalesce("of", "best.hnode").alias("of"))
+    ruling = best.groupBy("of").agg(F.max("best").alias("best")).select("of", F.col("best.hnode").alias("hub"))
+    own = best.drop("best").join(ruling, "of").join(nodes.select("node", "tokens"), "node")
+    both = own.join(nodes.select(F.col("node").alias("hub"), F.col("tokens").alias("theirs")), "hub")
+    unlike = F.concat(F.array_except("tokens", "theirs"), F.array_except("theirs", "tokens"))
+    size = F.col("n") - F.size("tokens") + F.size("unlike")
+    told = both.withColumn("unlike", unlike).withColumn("size", size).where("size <= n")
+    d = F.col("size") * (100 + percent) - F.col("n") * (100 - percent)
+    return told.select("node", "n", "root", "hub", "size", d.alias("d"), F.col("unlike").alias("tokens"))
+
+
+def _apart(told: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one hub that may link, of different components: each with the least different node, and those that share
+    one of their rarest differences, early enough in both to be the first of as many as they must share."""
+    least = told.groupBy("hub").agg(F.min(F.struct("d", "node", "root")).alias("m"))
+    held = told.join(least, "hub")
+    near = held.where((F.col("d") + F.col("m.d") <= 0) & (F.col("root") != F.col("m.root")))
+    near = near.select(F.least("node", "m.node").alias("x"), F.greatest("node", "m.node").alias("y"))
+
+    def shared(d: Column, e: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil((d + e) / (2.0 * (100 + percent)) - 1e-9))
+
+    each = held.select("hub", "node", "n", "root", "size", "d", F.col("m.d").alias("least"), F.explode("tokens").alias("token"))
+    often = each.groupBy("hub", "token").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    each = each.join(often, ["hub", "token"])
+    alone = F.col("size") - F.count(F.lit(1)).over(Window.partitionBy("node"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("times", "token"))
+    each = each.withColumn("pos", alone + place - 1).where(F.col("pos") <= F.col("size") - shared(F.col("d"), F.col("least")))
+    each = staged(each.select("hub", "token", "node", "n", "root", "size", "d", "pos"), "unlike")
+    a, b = (each.select("hub", "token", *[F.col(c).alias(f"{s}{c}") for c in ("node", "n", "root", "size", "d", "pos")]) for s in "xy")
+    must = shared(F.col("xd"), F.col("yd"))
+    early = (F.col("xpos") <= F.col("xsize") - must) & (F.col("ypos") <= F.col("ysize") - must)
+    sizes = (F.col("xn") * 100 >= F.col("yn") * percent) & (F.col("yn") * 100 >= F.col("xn") * percent)
+    far = (F.col("xroot") < F.col("yroot")) & (F.col("xd") + F.col("yd") > 0) & sizes & early
+    pairs = a.join(b, ["hub", "token"]).where(far)
+    return near.union(pairs.select(F.least("xnode", "ynode").alias("x"), F.greatest("xnode", "ynode").alias("y")))
+
+
+def _others(open_: DataFrame, told: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components that share an early token and are not told apart from the same hub.
+
+    Most of a token's nodes have the same hub; only the others are held against all.
+    """
+    named = open_.join(told.select("node", "hub"), "node", "left")
+    counts = named.where("hub is not null").groupBy("token", "hub").agg(F.count(F.lit(1)).alias("times"))
+    ruling = counts.groupBy("token").agg(F.max(F.struct("times", "hub")).alias("r")).select("token", F.col("r.hub").alias("ruling"))
+    named = named.join(ruling, "token", "left").withColumn("other", ~F.coalesce(F.col("hub") == F.col("ruling"), F.lit(False)))
+    a, b = (named.select("token", *[F.col(c).alias(f"{s}{c}") for c in ("node", "n", "pos", "root", "hub", "other")]) for s in "xy")
+    once = F.when(F.col("yother"), F.col("xroot") < F.col("yroot")).otherwise(F.col("xroot") != F.col("yroot"))
+    apart = ~F.coalesce(F.col("xhub") == F.col("yhub"), F.lit(False))
+    across = a.where("xother").join(b, "token").where(once & apart & _close("x", "y", percent))
+    return across.select(F.least("xnode", "ynode").alias("x"), F.greatest("xnode", "ynode").alias("y"))
+
+
 def linked(nodes: DataFrame, percent: int) -> DataFrame:
     """(node, root): components of the candidates' links."""
     alone = F.col("n") - F.size("tokens")  # tokens of no other node stand first in every order
     index = nodes.select("node", "n", (-alone / F.col("n")).alias("shared"), alone.alias("alone"), F.posexplode("prefix0").alias("at", "token"))
     index = staged(index.select("node", "n", "shared", "token", (F.col("at") + F.col("alone")).alias("pos")), "index")
     hubs = index.groupBy("token").agg(F.max(F.struct("shared", "node", "n", "pos")).alias("h"), F.count(F.lit(1)).alias("times"))
-    hubs = hubs.where("times > 1").select("token", *[F.col(f"h.{c}").alias(f"h{c}") for c in ("node", "n", "pos")])
+    hubs = hubs.where("times > 1").select("token", *[F.col(f"h.{c}").alias(f"h{c}") for c in ("shared", "node", "n", "pos")])
     near = index.select("token", *[F.col(c).alias(f"x{c}") for c in ("node", "n", "pos")]).join(hubs, "token")
     near = near.where((F.col("xnode") != F.col("hnode")) & _close("x", "h", percent))
     pairs = near.select(F.least("xnode", "hnode").alias("x"), F.greatest("xnode", "hnode").alias("y")).distinct()
@@ -312,9 +379,8 @@ def linked(nodes: DataFrame, percent: int) -> DataFrame:
     named = index.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = named.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
     open_ = staged(named.join(mixed.select("token"), "token", "left_semi"), "open")
-    a, b = (open_.select("token", *[F.col(c).alias(f"{s}{c}") for c in ("node", "n", "pos", "root")]) for s in "xy")
-    across = a.join(b, "token").where((F.col("xroot") < F.col("yroot")) & _close("x", "y", percent))
-    across = across.select(F.col("xnode").alias("x"), F.col("ynode").alias("y")).distinct()
+    told = staged(_told(open_, hubs, nodes, roots, percent), "told")
+    across = _apart(told, percent).union(_others(open_, told, percent)).distinct()
     more = staged(_links(across, nodes, percent), "links")
     if more.isEmpty():
         return roots

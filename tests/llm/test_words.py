@@ -190,3 +190,29 @@ def test_block_starts(spark, monkeypatch):
         starts[p, b], at = at, at + n
     frame = spark.createDataFrame(random.sample(blocks, len(blocks)), "part int, block int, n long")
     assert {(r.part, r.block): r.start for r in order.block_starts(frame).collect()} == starts
+
+
+def test_far_copies_of_an_absent_original_make_few_pairs(spark, monkeypatch):
+    """Every two of them share most tokens and only some link, so neither hubs nor shared tokens tell pairs apart."""
+    draw = random.Random(5)
+    words = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(240):
+        own = list(words)
+        for j, place in enumerate(draw.sample(range(4, 146, 5), draw.choice((1, 2, 3, 3, 3)))):
+            own[place] = f"x{i}y{j}"
+        texts.append(" ".join(own))
+    texts += [" ".join(f"v{i}" for i in range(40)) + f" {tail}" for tail in ("a b", "c d", "e")]
+    held = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (x.split() for x in texts)]
+    low = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(held[a] & held[b]) >= 80 * len(held[a] | held[b]) and low[a] != low[b]:
+                one, other = sorted((low[a], low[b]))
+                low = [one if x == other else x for x in low]
+    made = []
+    links = jaccard._links
+    monkeypatch.setattr(jaccard, "_links", lambda pairs, *more: made.append(pairs.count()) or links(pairs, *more))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard.join(docs).collect()} == dict(enumerate(low))
+    assert sum(made) < 10 * len(texts)
