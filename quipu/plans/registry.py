@@ -108,6 +108,11 @@ def register(report: Report) -> None:
     REPORTS[report.name] = _BY_PLAIN_NAME[table_name(report.name)] = report
 
 
+def forget(name: str) -> None:
+    """Take a report out again."""
+    del REPORTS[find(name).name], _BY_PLAIN_NAME[table_name(name)]
+
+
 def find(name: str) -> Report:
     """A report by its name; case, accents and leading symbols do not matter."""
     return _BY_PLAIN_NAME[table_name(name)]

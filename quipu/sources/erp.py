@@ -53,7 +53,7 @@ class Erp(Mapping):
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str) -> Erp:
-        names = [t.name for t in spark.catalog.listTables(database)]
+        names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]  # views of the session are in no database
         return cls({n: spark.table(f"{database}.{n}") for n in names})
 
     def __getitem__(self, name: str) -> DataFrame:
