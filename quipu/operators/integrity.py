@@ -22,6 +22,12 @@ STATES = {
     MODIFIED: "modificacion_detectada",
 }
 
+#: Types whose text has one byte per character, so that its length need not be counted.
+ASCII_TYPES = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+#: Up to so many columns a row's text is written out twice in the plan; more would make methods too long to be compiled.
+FLAT = 16
+
 HISTORY = T.StructType(
     [
         T.StructField("pais", T.StringType()),
@@ -53,14 +59,18 @@ def row_text(df: DataFrame, columns: Iterable[str] | None = None, digits: int =
     Each cell is led by its length, or is a mark for null, so no two rows have one text, whatever
     separators and control characters their cells hold. Instants are written at UTC, whatever the session's zone.
     """
-    floats = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
-    instants = {f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)}
-    parts = []
+    types = {f.name: f.dataType for f in df.schema}
+    pieces, cells = [], []
     for name in columns or sorted(df.columns):
-        value = F.round(col(name), digits) if name in floats else col(name)
-        cell = (_at_utc(value) if name in instants else value).cast("string")
-        parts.append(F.coalesce(F.concat(F.length(cell).cast("string"), F.lit(":"), cell), F.lit(MISSING)))
-    return F.concat_ws(SEPARATOR, *parts)
+        value, kind = col(name), types.get(name)
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            value = F.round(value, digits)
+        cell = (_at_utc(value) if isinstance(kind, T.TimestampType) else value).cast("string")
+        size = (F.octet_length if isinstance(kind, ASCII_TYPES) else F.length)(cell).cast("string")
+        cells.append(F.coalesce(F.concat(size, F.lit(":"), cell), F.lit(MISSING)))
+        pieces += [F.lit(SEPARATOR), size, F.lit(":"), cell]
+    marked = F.concat_ws(SEPARATOR, *cells)
+    return F.coalesce(F.concat(*pieces[1:]), marked) if len(cells) <= FLAT else marked  # rows without nulls are joined in one step
 
 
 def _at_utc(instant: Column) -> Column:
@@ -89,12 +99,15 @@ def fingerprints(df: DataFrame, by: Sequence[Column], columns: Iterable[str] | N
     digest = row_hash(df, columns)
     groups = [c.alias(n) for c, n in zip(by, names)]
     halves = df.select(*groups, _bits(digest, 1).alias("a"), _bits(digest, 16).alias("b"))
+    # summed as three 20-bit numbers each: exact in a long up to 2**43 rows, and cheaper than a sum of decimals
+    piece = lambda c, k: F.shiftright(c, 20 * k).bitwiseAND(F.lit((1 << 20) - 1))
     sums = halves.groupBy(*names).agg(
         F.count(F.lit(1)).alias("total_registros"),
-        F.coalesce(F.sum(F.col("a").cast("decimal(38,0)")), F.lit(0)).alias("a"),
-        F.coalesce(F.sum(F.col("b").cast("decimal(38,0)")), F.lit(0)).alias("b"),
+        *[F.coalesce(F.sum(piece(c, k)), F.lit(0)).cast("decimal(38,0)").alias(f"{c}{k}") for c in "ab" for k in range(3)],
         F.coalesce(F.bit_xor("a"), F.lit(0)).alias("x"),
     )
+    for c in "ab":
+        sums = sums.withColumn(c, F.col(f"{c}0") + F.col(f"{c}1") * F.lit(1 << 20) + F.col(f"{c}2") * F.lit(1 << 40))
     parts = [F.col(c).cast("string") for c in ("total_registros", "a", "b", "x")]
     text = F.concat_ws(SEPARATOR, *parts)
     return sums.select(*names, "total_registros", F.sha2(text, 256).alias("hash_sha256"))

@@ -1,6 +1,9 @@
+import hashlib
+import re
 from collections import Counter
 from datetime import datetime
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -117,3 +120,29 @@ def test_separators_within_cells_do_not_make_rows_equal(spark):
     one = spark.createDataFrame([("a\x1fb", "c")], "p string, q string")
     two = spark.createDataFrame([("a", "b\x1fc")], "p string, q string")
     assert integrity.fingerprint(one).first() != integrity.fingerprint(two).first()
+
+
+@pytest.mark.parametrize("copies", [1, 5])
+def test_fingerprint_of_every_kind_of_row_in_plain_python(spark, copies):
+    """Rows with and without nulls, few columns and many; the parts of a digest are summed without decimals."""
+    def cell(value):
+        return "-" if value is None else f"{len(value)}:{value}"
+
+    data = [(i, None if i % 3 == 0 else "ñandú" * (i % 4), None if i % 5 == 0 else f"{i}.50000", f"2024-01-{1 + i % 28:02d}") for i in range(200)]
+    df = spark.createDataFrame(data, "n int, s string, m string, d string")
+    kinds = {"n": "int", "s": "string", "m": "decimal(19,5)", "d": "date"}
+    df = df.select(*[F.col(c).cast(t).alias(f"{c}{k}") for k in range(copies) for c, t in kinds.items()])
+    assert copies == 1 or len(df.columns) > integrity.FLAT
+    found = integrity.fingerprints(df, [F.col("d0")])
+    sums = {}
+    for n, s, m, d in data:
+        values = {"n": str(n), "s": s, "m": m, "d": d}
+        text = integrity.SEPARATOR.join(cell(values[c[0]]) for c in sorted(df.columns))
+        digest = hashlib.sha256(text.encode()).hexdigest()
+        a, b = int(digest[:15], 16), int(digest[15:30], 16)
+        rows, a0, b0, x = sums.get(d, (0, 0, 0, 0))
+        sums[d] = (rows + 1, a0 + a, b0 + b, x ^ a)
+    want = {d: hashlib.sha256(integrity.SEPARATOR.join(map(str, v)).encode()).hexdigest() for d, v in sums.items()}
+    assert {str(r._g0): r.hash_sha256 for r in found.collect()} == want
+    partial = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "partial_sum" in x]
+    assert partial and not any(re.search(r"partial_sum\(cast\(\w+#\d+L? as decimal", x) for x in partial)
